@@ -7,12 +7,12 @@
 2. Prefix shingles are counted over all representatives. One that shares fewer than l of its prefix
    shingles cannot link and goes. For the others only the rarest c - l + 1 shared ones open tiles.
 3. A tile is (size band, shingle): a set is at home in its band and a visitor in the next, as sets
-   that link differ by less than one band. Within a tile, first everyone is paired with the tile's
-   lowest id: that settles groups of copies in linear work. Tiles whose members still lie in
-   different components then pair across components only, in blocks of bounded size, pruned by
-   size and by 1024-bit parity signatures: differing bits bound the symmetric difference from
-   below and so the overlap from above.
-4. Pairs that pass the signature bound are settled by intersecting the sorted sets.
+   that link differ by less than one band. Of tiles with the same members one is kept. Twice, every
+   member is paired with one leader of its tiles from another component: that settles groups of
+   copies in linear work. Tiles whose members still lie in different components then pair across
+   components only, in blocks of bounded size, pruned by size and by 1024-bit parity signatures:
+   differing bits bound the symmetric difference from below and so the overlap from above.
+4. Pairs that pass the bound of a wider signature are settled by intersecting the sorted sets.
 
 No candidate, partner or tile is capped. Components come from star rounds over written tables.
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import bitmap_of, components, lowered, materialize, maybe_in, mix, slices, sorted_unique, span_hashes, utf8, words_of
 
 CHUNK_BYTES = 2 << 20
-SIG_BITS = 1024
+SIG_BITS, WIDE_BITS = 1024, 8192  # within a tile; for pairs before their sets are fetched
 BLOCK = 2048  # members of a tile that one block compares
 
 
@@ -71,9 +71,9 @@ def wanted(n: int) -> int:
     return n // 20 + 1
 
 
-def signature(tokens: np.ndarray) -> np.ndarray:
+def signature(tokens: np.ndarray, size: int = SIG_BITS) -> np.ndarray:
     """Parity of the hashes that fall on each bit: each differing element turns one bit at most."""
-    bits = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % SIG_BITS, minlength=SIG_BITS) & 1
+    bits = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % size, minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.uint64)
 
 
@@ -94,7 +94,7 @@ def _sets(width: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK_BYTES):
             got = shingle_sets(*utf8(batch.column("text")), width)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in got], pa.int64()), pa.array([signature(s).tobytes() for s in got], pa.binary()), pa.array([s.tobytes() for s in got], pa.binary())], names=["id", "n", "sig", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in got], pa.int64()), pa.array([signature(s).tobytes() for s in got], pa.binary()), pa.array([signature(s, WIDE_BITS).tobytes() for s in got], pa.binary()), pa.array([s.tobytes() for s in got], pa.binary())], names=["id", "n", "sig", "wide", "tokens"])
 
     return sets
 
@@ -136,8 +136,8 @@ def _settles(percent: int):
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link: the signature bound first, the exact intersection for what is left."""
-    small, side = sets.select("id", "n", "sig"), sets.select("id", "tokens")
-    of = lambda df, x: df.withColumnsRenamed({"id": x, "n": f"n{x}", "sig": f"s{x}", "tokens": f"t{x}"})
+    small, side = sets.select("id", "n", "wide"), sets.select("id", "tokens")
+    of = lambda df, x: df.withColumnsRenamed({"id": x, "n": f"n{x}", "wide": f"s{x}", "tokens": f"t{x}"})
     near = pairs.join(of(small, "a"), "a").join(of(small, "b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_passes(percent), "a long, b long")
     return near.join(of(side, "a"), "a").join(of(side, "b"), "b").select("a", "b", "ta", "tb").mapInArrow(_settles(percent), "a long, b long")
 
@@ -202,21 +202,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tiles = lasting.select("id", "n", F.explode(F.expr("slice(shared, 1, cast(size(shared) - need + 1 as int))")).alias("s")).select("id", "n", F.col("s.token").alias("token"))
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) * 1.0001)).cast("int")
     tiles = tiles.select("id", "n", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("home")), F.struct((band + 1).alias("band"), F.lit(False).alias("home")))).alias("b"), "token")
-    tiles = materialize(tiles.select(F.xxhash64("b.band", "token").alias("tile"), "id", "n", "b.home"), "ngram-tiles")
+    tiles = materialize(tiles.select(F.xxhash64("b.band", "token").alias("tile"), "id", "n", "b.home"), "ngram-posts")
+    # of tiles with the same members one is enough; one member, or visitors only, make no pair
+    who = tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("id", "n", "home").cast("decimal(38,0)")).alias("who"), F.max("home").alias("any_home")).filter("k > 1 AND any_home")
+    tiles = materialize(tiles.join(who.groupBy("k", "who").agg(F.min("tile").alias("tile")).select("tile"), "tile", "left_semi"), "ngram-tiles")
 
     # full sets of what is left
     left = materialize(tiles.select("id").distinct(), "ngram-left")
     texts = maybe_in(rows, F.xxhash64("id"), bitmap_of(left, F.xxhash64("id"))).join(left, "id", "left_semi")
-    sets = materialize(texts.select("id", "text").mapInArrow(_sets(width), "id long, n long, sig binary, tokens binary"), "ngram-sets")
-
-    # first everyone with the lowest id of its tile
-    lead = tiles.groupBy("tile").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.max("home").alias("any_home")).filter("a <> z AND any_home").select("tile", "a")
-    pairs = tiles.join(lead, "tile").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
-    links = materialize(verified(pairs, sets, percent), "ngram-links").distinct()
-    comp = materialize(components(links, "ngram"), "ngram-comp")
+    sets = materialize(texts.select("id", "text").mapInArrow(_sets(width), "id long, n long, sig binary, wide binary, tokens binary"), "ngram-sets")
+
+    # twice, everyone with one leader from another component
+    links, comp = None, None
+    for _ in range(2):
+        member = tiles.withColumn("comp", F.col("id")) if comp is None else tiles.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id"))
+        member = materialize(member.select("tile", "id", "n", "home", "comp"), "ngram-members")
+        lead = member.groupBy("tile").agg(F.min(F.struct("comp", "id")).alias("a"), F.max("comp").alias("z")).filter("a.comp <> z").select("tile", "a")
+        pairs = member.join(lead, "tile").filter("a.comp <> comp").groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).select("a.id", "b").withColumnRenamed("id", "a")
+        found = materialize(verified(pairs, sets, percent), "ngram-links")
+        links = found if links is None else links.unionByName(found)
+        comp = materialize(components(links, "ngram"), "ngram-comp").withColumnRenamed("node", "id")
 
     # then across the components that still share a tile
-    member = tiles.join(comp.withColumnRenamed("node", "id"), "id", "left").select("tile", "id", "n", "home", F.coalesce("component", "id").alias("comp"))
+    member = tiles.join(comp, "id", "left").select("tile", "id", "n", "home", F.coalesce("component", "id").alias("comp"))
     member = materialize(member, "ngram-members")
     mixed = member.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c <> d AND k > 2").select("tile", F.expr(f"cast(1 + (k - 1) div {block} as int)").alias("parts"))
     some = member.join(mixed, "tile").join(sets.select("id", "n", "sig"), ["id", "n"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))

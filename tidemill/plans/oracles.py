@@ -142,7 +142,7 @@ b AS (SELECT 'user_id' AS column_name, total, u AS nulls FROM a UNION ALL SELECT
     "stream_tumbling_features": f"""WITH {FB}, {SEG} SELECT user_id, CAST(count(*) AS INTEGER) AS activity_count, CAST(count(DISTINCT raw_type) AS INTEGER) AS unique_event_types, arg_max(raw_type, (ms, raw_type)) AS last_event_type,
   round(least(sum(CASE raw_type WHEN 'view' THEN 1.0 WHEN 'click' THEN 2.0 ELSE 0.5 END) / (5 * count(*)), 1.0), 4) AS engagement_score, day FROM seg GROUP BY user_id, day""",
     "stream_session_features": f"""WITH {FB}, {SEG}, a AS (SELECT *, lag(ms) OVER (PARTITION BY user_id ORDER BY ms) AS p FROM seg), b AS (SELECT *, sum(CASE WHEN p IS NULL OR ms - p >= 21600000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ms) AS n FROM a)
-SELECT user_id, CAST(count(*) AS INTEGER) AS activity_count, strftime(min(ts), '%Y%m%d%H%M%S') AS began, round((max(ms) - min(ms)) / 1000.0::DOUBLE, 2) AS session_duration_seconds FROM b GROUP BY user_id, n""",
+SELECT user_id, CAST(count(*) AS INTEGER) AS activity_count, strftime(min(ts), '%Y%m%d%H%M%S') AS began, round((max(ms) - min(ms)) / 1000.0::DOUBLE, 3) AS session_duration_seconds FROM b GROUP BY user_id, n""",
     "online_upsert_diff": f"WITH {PF} SELECT 'u:' || id AS key, city, CAST(score AS VARCHAR) AS score FROM pf WHERE CAST(id AS BIGINT) % 5 = 0 AND score IS DISTINCT FROM -1",
     "position_features": f"WITH {FB} SELECT event_id, position, round(position / 50.0::DOUBLE, 6) AS position_normalized, CAST(position <= 3 AS INTEGER) AS is_top_3, CAST(position <= 10 AS INTEGER) AS is_top_10, CAST(position <= 20 AS INTEGER) AS is_top_20, CAST(position <= 10 AS INTEGER) AS is_first_page FROM fb",
     "cross_features": f"WITH {FB}, {EX}, {PF}, d AS (SELECT DISTINCT user_id, experience_id FROM fb) SELECT d.user_id, d.experience_id, round({KM}, 3) AS distance_km, {BUCKET} AS distance_bucket, coalesce(lower(trim(u.city)) = lower(trim(e.city)), false) AS same_city FROM d {_WHO.format('d')}",

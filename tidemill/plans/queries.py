@@ -258,7 +258,7 @@ def stream_tumbling_features(s, d):
 
 def stream_session_features(s, d):
     out = stream.sessions(_stream_events(s, d), "6 hours")
-    return flat(out.select("user_id", "activity_count", F.date_format("session_start", "yyyyMMddHHmmss").alias("began"), "session_duration_seconds"), 2)
+    return flat(out.select("user_id", "activity_count", F.date_format("session_start", "yyyyMMddHHmmss").alias("began"), "session_duration_seconds"), 3)
 
 
 def stream_realtime_user(s, d):

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import bitmap_of, components, lowered, materialize, maybe_in, mix, slices, sorted_unique, span_hashes, utf8, words_of
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 SIG_BITS, WIDE_BITS = 1024, 8192  # within a tile; for pairs before their sets are fetched
 BLOCK = 2048  # members of a tile that one block compares
 

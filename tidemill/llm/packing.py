@@ -23,6 +23,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import _powers, mix, slices, texts_of
 
 END_ID = 1
-CHUNK_BYTES = 1 << 20
-CACHE_PIECES = 1_000_000
+CHUNK_BYTES = 512 << 10
+CACHE_PIECES = 500_000
 POOL = 512
 _LIMIT = 0x2100
 
@@ -83,17 +84,25 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer, decoders
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        vocab = json.load(open(path, encoding="utf-8"))["model"]["vocab"]
-        special = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            whole = json.load(f)
+        vocab, special = whole["model"]["vocab"], {t["content"] for t in whole["added_tokens"]}
         letters = self._byte_letters()
         ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items() if token not in special}
         self.pieces = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         self.forget()
 
+    @cached_property
+    def library(self):
+        """The tokenizers library's own, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.encode_special_tokens = True
+        return found
+
     @staticmethod
     def _byte_letters() -> dict[str, int]:
         """The letter that byte-level BPE writes for each byte."""

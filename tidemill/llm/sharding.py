@@ -50,7 +50,6 @@ def assign_shards(docs: DataFrame, shards: int = 24, text_col: str = "text", buc
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return assign_shards(docs, 24).select(
-        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8).alias("size"),
-        F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"), F.lit("rows").alias("law"), "shard", F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"),
-    )
+    # measured before the shuffle, so that texts are written with their shard but not read again for the digest
+    docs = docs.withColumns({"size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8, "text_crc32": F.coalesce(F.crc32("text"), F.lit(0)).cast("long")})
+    return assign_shards(docs, 24).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"))

@@ -57,11 +57,11 @@ def event_name(df: DataFrame) -> Column:
     return F.coalesce(inner, F.lower(F.substring_index("_event_type", ".", 1)), F.lit("unknown"))
 
 
-def windowed(events: DataFrame, window: Column, watermark: str = WATERMARK) -> DataFrame:
-    """Session and real-time features of each user and window."""
+def windowed(events: DataFrame, window: Column, watermark: str | None = None) -> DataFrame:
+    """Session and real-time features of each user and window. watermark: for a stream that has none yet (deduplicate() sets one)."""
     name = event_name(events)
     row = F.struct(F.col("event_timestamp").alias("ts"), name.alias("name"), lookup(name, STREAM_WEIGHTS, OTHER_STREAM_WEIGHT).alias("weight"), "latitude", "longitude", F.col("category_name").alias("category"), "tags", "experience_id", "session_id", F.col("_event_type").alias("kind"), "recommendations")
-    base = events.withWatermark("event_timestamp", watermark) if events.isStreaming else events
+    base = events.withWatermark("event_timestamp", watermark) if events.isStreaming and watermark else events
     grouped = base.groupBy(F.coalesce("user_id", F.lit("unknown")).alias("user_id"), window.alias("w")).agg(F.array_sort(F.collect_list(row)).alias("e"))
     return grouped.select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *_features(F.col("e")))
 
@@ -94,11 +94,11 @@ def _features(e: Column) -> list[Column]:
     ]
 
 
-def tumbling(events: DataFrame, seconds: int = 30, watermark: str = WATERMARK) -> DataFrame:
+def tumbling(events: DataFrame, seconds: int = 30, watermark: str | None = None) -> DataFrame:
     return windowed(events, F.window("event_timestamp", f"{seconds} seconds"), watermark)
 
 
-def sessions(events: DataFrame, gap: str = "30 minutes", watermark: str = WATERMARK) -> DataFrame:
+def sessions(events: DataFrame, gap: str = "30 minutes", watermark: str | None = None) -> DataFrame:
     return windowed(events, F.session_window("event_timestamp", gap), watermark)
 
 

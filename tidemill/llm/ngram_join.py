@@ -9,8 +9,8 @@
 3. A tile is (size band, shingle): a set is at home in its band and a visitor in the next, as sets
    that link differ by less than one band. Of tiles with the same members one is kept. Twice, every
    member is paired with one leader of its tiles from another component: that settles groups of
-   copies in linear work. Tiles whose members still lie in different components then pair across
-   components only, in blocks of bounded size, pruned by size and by 1024-bit parity signatures:
+   copies in linear work. Tiles (of two members, too: a member tries one leader of all its tiles)
+   whose members still lie in different components then pair across components only, in blocks of bounded size, pruned by size and by 1024-bit parity signatures:
    differing bits bound the symmetric difference from below and so the overlap from above.
 4. Pairs that pass the bound of a wider signature are settled by intersecting the sorted sets.
 
@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # then across the components that still share a tile
     member = tiles.join(comp, "id", "left").select("tile", "id", "n", "home", F.coalesce("component", "id").alias("comp"))
     member = materialize(member, "ngram-members")
-    mixed = member.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c <> d AND k > 2").select("tile", F.expr(f"cast(1 + (k - 1) div {block} as int)").alias("parts"))
+    mixed = member.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c <> d").select("tile", F.expr(f"cast(1 + (k - 1) div {block} as int)").alias("parts"))
     some = member.join(mixed, "tile").join(sets.select("id", "n", "sig"), ["id", "n"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     dealt = some.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("tile", "id", "n", "home", "comp", "sig", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
     sorted_ = dealt.repartition("tile", "lo", "hi").sortWithinPartitions("tile", "lo", "hi")

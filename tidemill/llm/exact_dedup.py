@@ -47,9 +47,11 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of docs. Losing ids are few, so texts are filtered where they are read."""
-    lost = mark_duplicates(docs.select(id_col, text_col), id_col, text_col).filter(~F.col("kept")).select(id_col).distinct()
-    return anti_by_id(docs, materialize(lost, "dedup-lost"), id_col)
+    """The rows that stay, with the columns of docs. A row goes by its id (which may be null) and its text, so other texts of the id stay."""
+    marked = mark_duplicates(docs.select(id_col, text_col), id_col, text_col)
+    lost = marked.filter(~F.col("kept")).select(F.coalesce(id_col, F.lit(-1)).alias("_id"), F.col(id_col).isNull().alias("_null"), F.col("text_sha256").alias("_text")).distinct()
+    rows = docs.withColumns({"_id": F.coalesce(id_col, F.lit(-1)), "_null": F.col(id_col).isNull(), "_text": F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)})
+    return rows.join(materialize(lost, "dedup-lost"), ["_id", "_null", "_text"], "left_anti").select(docs.columns)
 
 
 def anti_by_id(docs: DataFrame, lost: DataFrame, id_col: str) -> DataFrame:

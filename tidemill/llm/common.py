@@ -106,6 +106,13 @@ def components(edges: DataFrame, tag: str, max_rounds: int = 60) -> DataFrame:
     return cur.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+# ---------------------------------------------------------------- samples
+def in_sample(key: Column, wanted: int, total: int) -> Column:
+    """Whether a row belongs to a sample of about `wanted` of `total` rows, by a hash of its key; all rows if there are not more."""
+    share = min(1.0, wanted / max(total, 1))
+    return F.shiftrightunsigned(F.xxhash64(key), 1) <= F.lit(max(0, int(share * (1 << 63)) - 1)).cast("long")
+
+
 # ---------------------------------------------------------------- text batches
 def texts_of(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """A text column without nulls and in one piece."""

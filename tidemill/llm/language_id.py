@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import in_sample, slices, texts_of
 
 BUCKET_BITS = 16
 ORDERS = (1, 2, 3)
@@ -82,9 +82,7 @@ class LanguageModel:
 def fit_language_model(docs: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel:
     """docs(id, text, lang): learns from rows whose text and lang are not null."""
     rows = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    n = rows.count()
-    million = 1_000_000
-    rows = rows.filter(F.pmod(F.xxhash64("id"), F.lit(million)) < int(million * min(1.0, fit_rows / max(n, 1))))
+    rows = rows.filter(in_sample(F.col("id"), fit_rows, rows.count()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

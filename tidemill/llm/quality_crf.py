@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lowered, slices, span_hashes, utf8, words_of
+from .common import in_sample, lowered, slices, span_hashes, utf8, words_of
 from .language_id import is_held_out
 
 FIT_ROWS, FIT_LINES = 4000, 200
@@ -192,10 +192,9 @@ def train(bins: np.ndarray, size: np.ndarray, first: np.ndarray, label: np.ndarr
 def fit_quality_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_lines: int = FIT_LINES) -> QualityModel:
     """docs(doc_id, text), labels(doc_id, quality). The sample is chosen among the labels first, so few texts are moved."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    n = known.count()
-    million = 1_000_000
-    chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(million)) < int(million * min(1.0, fit_rows / max(n, 1)) + 0.5))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.pmod(F.xxhash64("doc_id"), F.lit(million)) < int(million * min(1.0, fit_rows / max(n, 1)) + 0.5))
+    sampled = in_sample(F.col("doc_id"), fit_rows, known.count())
+    chosen = known.filter(sampled)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(sampled)
     rows = rows.filter(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) < fit_lines).join(chosen, "doc_id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -247,3 +247,29 @@ def test_warc_round_trip(spark):
     place = one["index"][0]
     assert warc.read_record(bytes(one.content), place.frame, place.offset, place.length).startswith(b"WARC/1.1")
     assert warc.export_bundle(bundles, one.bundle_id) == bytes(one.content) and warc.read_bundles(warc.write_bundles(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
+
+
+def test_a_tile_of_two_is_compared_when_another_leader_comes_first(spark):
+    """b links with a; a lower id shares b's last shingle only, so it is the leader that b tries first."""
+    r, rows = random.Random(11), []
+    word = lambda: f"w{r.randrange(1 << 40)}"
+    for k in range(300):
+        b = [word() for _ in range(23)]
+        rows += [(3 * k, " ".join([*(word() for _ in range(19)), *b[-4:]])), (3 * k + 1, " ".join([*b[:-1], word()])), (3 * k + 2, " ".join(b))]
+    got = {x.doc_id: x.component_id for x in ngram_join.near_duplicates(docs(spark, rows)).collect()}
+    assert got == {i: i - 1 if i % 3 == 2 else i for i, _ in rows}
+
+
+def test_exact_dedup_drops_rows_not_ids(spark):
+    rows = [(None, "same"), (7, "same"), (8, "twice"), (8, "alone"), (9, "twice"), (None, "own")]
+    got = exact_dedup.drop_duplicates(docs(spark, rows)).collect()
+    assert sorted((x.doc_id or 0, x.text) for x in got) == [(0, "own"), (7, "same"), (8, "alone"), (9, "twice")]
+
+
+def test_samples_are_not_empty_on_very_large_tables(spark):
+    from tidemill.llm.common import in_sample
+
+    rows = spark.range(2_000_000)
+    assert rows.filter(in_sample(F.col("id"), 5, 10)).count() == pytest.approx(1_000_000, rel=0.01)
+    assert rows.filter(in_sample(F.col("id"), 5, 5)).count() == rows.filter(in_sample(F.col("id"), 5, 0)).count() == 2_000_000
+    assert 5 < rows.filter(in_sample(F.col("id"), 20_000, 2_000_000_000)).count() < 50  # a share of 1 in 100,000

@@ -1,13 +1,13 @@
 """URL filters by a path-template tree.
 
 Each host has a tree of path segments. Numbers and hex strings inside a segment become wildcards
-at once. Then, level by level, children with too small a share of their parent become `*` (so a
-node keeps at most 1 / min_share literal children), and siblings whose remaining paths and
-labelled bad rates do not differ (two-proportion test) are merged. A template is blocked when its
-smoothed share of bad labels, drawn towards that of its host, reaches block_at. Rules by
-host suffix and path prefix override the verdict; the longest fitting rule wins.
+at once. Then, level by level, children with less than min_support urls become `*`, and siblings
+whose remaining paths and labelled bad rates do not differ (two-proportion test) are merged. A
+template is blocked when its smoothed share of bad labels, drawn towards that of its host, reaches
+block_at. Rules by host suffix and path prefix override the verdict; the longest fitting rule wins.
 
-All statistics are aggregates over all urls; only bounded sets of siblings reach one task.
+All statistics are aggregates over all urls. A node may have any number of children: siblings are
+binned by their counts, and the bins of a node are clustered as a stream.
 
 Cases: a null url, or one without `://`, has empty host and path and the root template; segments
 beyond max_depth become `**`; urls that repeat count each time; without labels, everything is
@@ -16,9 +16,10 @@ allowed by the method; an empty table gives an empty result; extra columns are i
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,6 @@ class Rule:
 
 @dataclass(frozen=True)
 class TemplateSettings:
-    min_share: float = 0.02
     min_support: int = 20
     max_depth: int = 8
     merge_z: float = 1.96
@@ -73,28 +73,40 @@ def segments_of(path: Column, max_depth: int) -> Column:
     return F.when(F.size(shaped) > max_depth, F.concat(F.slice(shaped, 1, max_depth), F.array(F.lit("**")))).otherwise(shaped)
 
 
-def _merge_siblings(z: float):
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        """Siblings with the same usual rest of the path, in order of bad rate: one joins the last cluster unless their rates differ."""
-        rows = rows.assign(rate=(rows.bad + 0.5) / (rows.lab + 1)).sort_values(["rest", "rate", "seg"])
-        names: dict[str, str] = {}
-        clusters: list[list] = []  # rest, bad, lab, segments
-        for r in rows.itertuples():
-            if clusters and clusters[-1][0] == r.rest:
-                c = clusters[-1]
-                p = (c[1] + r.bad + 0.5) / (c[2] + r.lab + 1)
-                spread = (p * (1 - p) * (1 / (c[2] + 1) + 1 / (r.lab + 1))) ** 0.5
-                if abs((c[1] + 0.5) / (c[2] + 1) - r.rate) <= z * spread:
-                    c[1], c[2] = c[1] + r.bad, c[2] + r.lab
-                    c[3].append(r.seg)
-                    continue
-            clusters.append([r.rest, r.bad, r.lab, [r.seg]])
-        for c in clusters:
-            label = "*" if "*" in c[3] else "|".join(sorted(c[3]))
-            names |= dict.fromkeys(c[3], label)
-        return rows[["host", "tmpl", "seg"]].assign(label=rows.seg.map(names))
-
-    return merge
+def _clusters(z: float):
+    def clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bins come sorted by node, rest and rate. One joins the last cluster of its node and rest unless their rates differ; only that cluster is held."""
+        node, bad, lab, number = None, 0, 0, 0
+        for batch in batches:
+            rows = batch.to_pydict()
+            out = []
+            for host, tmpl, rest, own_lab, own_bad, k in zip(*(rows[c] for c in ("host", "tmpl", "rest", "lab", "bad", "k")), strict=True):
+                p = (bad + own_bad + 0.5) / (lab + own_lab + 1)
+                spread = (p * (1 - p) * (1 / (lab + 1) + 1 / (own_lab + 1))) ** 0.5
+                if node == (host, tmpl, rest) and abs((bad + 0.5) / (lab + 1) - (own_bad + 0.5) / (own_lab + 1)) <= z * spread:
+                    bad, lab = bad + k * own_bad, lab + k * own_lab
+                else:
+                    number = number + 1 if node == (host, tmpl, rest) else 0
+                    node, bad, lab = (host, tmpl, rest), k * own_bad, k * own_lab
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "tmpl", "rest", "lab", "bad")), pa.array(out, pa.int64())], names=["host", "tmpl", "rest", "lab", "bad", "cluster"])
+
+    return clusters
+
+
+def sibling_labels(child: DataFrame, z: float) -> DataFrame:
+    """child(host, tmpl, seg, rest, lab, bad) -> (host, tmpl, seg, label): siblings with the same usual rest of the path are clustered in order of bad rate.
+
+    Siblings with the same counts cannot differ and are one bin. The label of more than two segments names the first, the last and how many more.
+    """
+    bins = child.groupBy("host", "tmpl", "rest", "lab", "bad").agg(F.count(F.lit(1)).alias("k"))
+    rate = (F.col("bad") + 0.5) / (F.col("lab") + 1)
+    sorted_ = bins.repartition("host", "tmpl", "rest").sortWithinPartitions("host", "tmpl", "rest", rate, "lab")
+    numbered = sorted_.mapInArrow(_clusters(z), "host string, tmpl string, rest string, lab long, bad long, cluster long")
+    of = materialize(child.join(numbered, ["host", "tmpl", "rest", "lab", "bad"]).select("host", "tmpl", "seg", "rest", "cluster"), "url-clusters")
+    cluster = of.groupBy("host", "tmpl", "rest", "cluster").agg(F.count(F.lit(1)).alias("k"), F.min("seg").alias("lo"), F.max("seg").alias("hi"), F.max(F.col("seg") == "*").alias("star"))
+    label = F.when(F.col("star"), "*").when(F.col("k") == 1, F.col("lo")).when(F.col("k") == 2, F.concat_ws("|", "lo", "hi")).otherwise(F.concat("lo", F.lit("|"), "hi", F.lit("|+"), (F.col("k") - 2).cast("string")))
+    return of.join(cluster.select("host", "tmpl", "rest", "cluster", label.alias("label")), ["host", "tmpl", "rest", "cluster"]).select("host", "tmpl", "seg", "label")
 
 
 def build_templates(urls: DataFrame, settings: TemplateSettings = TemplateSettings()) -> DataFrame:
@@ -107,10 +119,7 @@ def build_templates(urls: DataFrame, settings: TemplateSettings = TemplateSettin
         deep = state.filter(F.size("segs") > d).withColumn("seg", F.col("segs")[d]).withColumn("rest", F.array_join(F.expr(f"slice(segs, {d + 2}, size(segs))"), "/"))
         stats = [F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("bad").alias("bad")]
         child = deep.groupBy("host", "tmpl", "seg", "rest").agg(*stats).groupBy("host", "tmpl", "seg").agg(F.max_by("rest", F.struct("n", "rest")).alias("rest"), *stats)
-        parent = child.groupBy("host", "tmpl").agg(F.sum("n").alias("total"))
-        literal = (F.col("n") >= s.min_support) & (F.col("n") >= s.min_share * F.col("total"))
-        kept = child.join(parent, ["host", "tmpl"]).filter(literal)
-        labels = materialize(kept.groupBy("host", "tmpl").applyInPandas(_merge_siblings(s.merge_z), "host string, tmpl string, seg string, label string"), "url-labels")
+        labels = materialize(sibling_labels(child.filter(F.col("n") >= s.min_support), s.merge_z), "url-labels")
         step = state.withColumn("seg", F.when(F.size("segs") > d, F.col("segs")[d])).join(labels, ["host", "tmpl", "seg"], "left")
         grown = F.when(F.col("seg").isNull(), F.col("tmpl")).otherwise(F.concat("tmpl", F.lit("/"), F.coalesce("label", F.lit("*"))))
         state = materialize(step.select("host", "segs", "n", "lab", "bad", grown.alias("tmpl")), "url-level")

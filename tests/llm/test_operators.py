@@ -216,6 +216,15 @@ def test_token_ids_are_the_librarys():
     assert all(list(a) == e.library.encode(t, add_special_tokens=False).ids for a, t in zip(e.encode(texts), texts))
 
 
+def test_added_tokens_are_found_as_the_unaltered_library_does():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.public_tokenizer())
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> x", "a<|endoftext|", "|>b", "漢<|endoftext|>", "plain it's", ""]
+    got = [x.tolist() for x in packing.Encoder(packing.public_tokenizer()).encode(texts)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts] and got[0] == [64, 50256, 65]
+
+
 def test_packing(spark):
     out = packing.pack_texts(docs(spark, [(i, t) for i, (_, t) in enumerate(CASES)]).withColumnRenamed("doc_id", "id"), packing.public_tokenizer(), with_ids=True).collect()
     e = packing.Encoder(packing.public_tokenizer())

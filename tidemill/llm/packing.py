@@ -10,7 +10,8 @@ Every task packs its own texts: no shuffle, no key, and the memory of a task is
 pool of pending pieces. Sequence ids carry the task's number, so a repeated task gives the same ones.
 
 Token ids are those of the tokenizer file. Texts of common scripts are cut into its pre-tokens by
-array work and each distinct pre-token is encoded once; any other text goes to the tokenizers library whole.
+array work and each distinct pre-token is encoded once; any other text, and any that holds an added
+token such as <|endoftext|>, goes to the tokenizers library whole.
 
 Cases: a null or empty text is the end id alone; null ids and repeated rows are ordinary rows; very long
 texts take many sequences; an empty table gives an empty result; extra columns are ignored.
@@ -80,7 +81,7 @@ def pretoken_starts(chars: np.ndarray, kind: np.ndarray, at: np.ndarray) -> np.n
 
 
 class Encoder:
-    """Token ids of texts as tokenizers gives them, without special tokens."""
+    """Token ids of texts as tokenizers gives them with add_special_tokens=False. Texts that hold an added token of the file go to the library."""
 
     def __init__(self, path: str) -> None:
         import tiktoken
@@ -89,6 +90,7 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             whole = json.load(f)
         vocab, special = whole["model"]["vocab"], {t["content"] for t in whole["added_tokens"]}
+        self.added = sorted(special)
         letters = self._byte_letters()
         ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items() if token not in special}
         self.pieces = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
@@ -99,9 +101,7 @@ class Encoder:
         """The tokenizers library's own, loaded when a text needs it."""
         from tokenizers import Tokenizer
 
-        found = Tokenizer.from_file(self.path)
-        found.encode_special_tokens = True
-        return found
+        return Tokenizer.from_file(self.path)
 
     @staticmethod
     def _byte_letters() -> dict[str, int]:
@@ -138,8 +138,11 @@ class Encoder:
         chars = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.intp)
         kind = _CLASS.take(chars, mode="clip")
         at = np.cumsum([0, *map(len, texts)])
-        if (rare := np.flatnonzero(kind == 4)).size:
-            odd = set((np.searchsorted(at, rare, "right") - 1).tolist())
+        rare = np.flatnonzero(kind == 4)
+        odd = set((np.searchsorted(at, rare, "right") - 1).tolist())
+        if any(a in whole for a in self.added):
+            odd |= {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        if odd:
             rest = iter(self.encode([t for i, t in enumerate(texts) if i not in odd]))
             return [np.array(self.library.encode(t, add_special_tokens=False).ids, np.int32) if i in odd else next(rest) for i, t in enumerate(texts)]
         starts = pretoken_starts(chars, kind, at)

@@ -69,6 +69,25 @@ def test_near_duplicates_cases(spark):
     assert ngram_join.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_near_duplicate_links_lose_no_link(spark):
+    r, rows = random.Random(9), []
+    for k in range(2):
+        words = [f"w{r.randrange(1 << 40)}" for _ in range(200)]
+        for _ in range(10):  # many pairs of one component link, not only those with a leader
+            own = list(words)
+            own[r.randrange(200)] = f"z{r.randint(0, 3)}"
+            rows.append((len(rows), " ".join(own)))
+    rows += [(200, rows[0][1].upper()), (201, None), (202, ""), (None, rows[0][1]), (0, rows[0][1])]
+    pairs, members = ngram_join.near_duplicate_links(docs(spark, rows), block=4)
+    sets = {d: frozenset(shingle_set(t, 4)) for d, t in rows if d is not None and t}
+    first = {s: min(d for d in sets if sets[d] == s) for s in sets.values()}
+    reps = sorted(first.values())
+    want = {(a, b) for a in reps for b in reps if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    got = [(x.a, x.b) for x in pairs.collect()]
+    assert set(got) == want and len(got) == len(want) > 60
+    assert sorted((x.id, x.rep) for x in members.collect()) == sorted((d, first[s]) for d, s in sets.items())
+
+
 def test_components_of_a_chain(spark):
     edges = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.component for r in components(edges, "t").collect()} == {0} and components(edges, "t").count() == 41

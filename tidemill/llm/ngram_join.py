@@ -14,6 +14,9 @@
    differing bits bound the symmetric difference from below and so the overlap from above.
 4. Pairs that pass the bound of a wider signature are settled by intersecting the sorted sets.
 
+near_duplicates() gives components only. near_duplicate_links() skips step 3's leaders, compares within
+components too and gives every link.
+
 No candidate, partner or tile is capped. Components come from star rounds over written tables.
 
 Cases: a null or empty text has an empty set and links with nothing; null ids are dropped from
@@ -32,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, components, lowered, materialize, maybe_in, mix, slices, sorted_unique, span_hashes, utf8, words_of
+from .common import bitmap_of, components, lowered, materialize, maybe_in, mix, salted_left_join, slices, sorted_unique, span_hashes, utf8, words_of
 
 CHUNK_BYTES = 512 << 10
 SIG_BITS, WIDE_BITS = 1024, 8192  # within a tile; for pairs before their sets are fetched
@@ -177,8 +180,8 @@ def _across(percent: int):
     return across
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
-    """One row a document: id, n_shingles and component_id, the smallest id reachable over links of Jaccard similarity >= percent / 100."""
+def _tiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """sketch, followers (id, rep), tiles (tile, id, n, home) and the full sets of their members."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sketch = materialize(rows.mapInArrow(_sketch(width, percent), "id long, n long, k1 long, k2 long, prefix array<long>"), "ngram-sketch")
     real = sketch.filter("n > 0 AND id IS NOT NULL")
@@ -211,6 +214,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = materialize(tiles.select("id").distinct(), "ngram-left")
     texts = maybe_in(rows, F.xxhash64("id"), bitmap_of(left, F.xxhash64("id"))).join(left, "id", "left_semi")
     sets = materialize(texts.select("id", "text").mapInArrow(_sets(width), "id long, n long, sig binary, wide binary, tokens binary"), "ngram-sets")
+    return sketch, followers, tiles, sets
+
+
+def _pairs_across(member: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """member(tile, id, n, home, comp) -> the pairs (a, b) that share a tile, differ in comp and pass the bounds."""
+    mixed = member.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c <> d").select("tile", F.expr(f"cast(1 + (k - 1) div {block} as int)").alias("parts"))
+    some = member.join(mixed, "tile").join(sets.select("id", "n", "sig"), ["id", "n"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    dealt = some.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("tile", "id", "n", "home", "comp", "sig", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+    sorted_ = dealt.repartition("tile", "lo", "hi").sortWithinPartitions("tile", "lo", "hi")
+    return sorted_.mapInArrow(_across(percent), "a long, b long").distinct()
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
+    """One row a document: id, n_shingles and component_id, the smallest id reachable over links of Jaccard similarity >= percent / 100."""
+    sketch, followers, tiles, sets = _tiles(docs, id_col, text_col, width, percent)
 
     # twice, everyone with one leader from another component
     links, comp = None, None
@@ -226,11 +244,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # then across the components that still share a tile
     member = tiles.join(comp, "id", "left").select("tile", "id", "n", "home", F.coalesce("component", "id").alias("comp"))
     member = materialize(member, "ngram-members")
-    mixed = member.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c <> d").select("tile", F.expr(f"cast(1 + (k - 1) div {block} as int)").alias("parts"))
-    some = member.join(mixed, "tile").join(sets.select("id", "n", "sig"), ["id", "n"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    dealt = some.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("tile", "id", "n", "home", "comp", "sig", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
-    sorted_ = dealt.repartition("tile", "lo", "hi").sortWithinPartitions("tile", "lo", "hi")
-    cross = sorted_.mapInArrow(_across(percent), "a long, b long").distinct()
+    cross = _pairs_across(member, sets, percent, block)
     more = materialize(verified(cross, sets, percent), "ngram-more").distinct()
     every = links.unionByName(more).unionByName(followers.select(F.col("rep").alias("a"), F.col("id").alias("b")))
     final = materialize(components(every, "ngram-all"), "ngram-final")
@@ -238,5 +252,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
+def near_duplicate_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members). pairs(a, b), a < b: all representatives that link, in one component or not. members(id, rep): the representative of each id's set, one row a set.
+
+    Ids stand for the same representative if their sets are equal; they link with all that it links
+    with and with one another. An id with several texts is also paired by each of them. Quadratic in the size of a group of near copies, as the links are.
+    """
+    sketch, followers, tiles, sets = _tiles(docs, id_col, text_col, width, percent)
+    pairs = _pairs_across(materialize(tiles.withColumn("comp", F.col("id")), "ngram-members"), sets, percent, block)
+    real = sketch.filter("n > 0 AND id IS NOT NULL").select("id", "n", "k1", "k2")
+    reps = materialize(real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")), "ngram-reps")
+    members = salted_left_join(real, reps, ["n", "k1", "k2"], F.xxhash64("id")).select("id", "rep").distinct()
+    return materialize(verified(pairs, sets, percent).distinct(), "ngram-pairs"), members
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), width=4, percent=85)

@@ -54,6 +54,13 @@ def test_negatives_are_never_positives(spark):
     assert got.count() and not {r.experience_id for r in got.collect()} & set("01234")
 
 
+@pytest.mark.parametrize("items, known, per_positive", [(2000, 1, 1999), (2000, 3, 4), (20, 5, 4), (1, 1, 4), (0, 1, 4)])
+def test_every_item_can_be_a_negative_and_none_is_missing(spark, items, known, per_positive):
+    pos = training.positives(feedback(spark, [event(datetime(2024, 1, 30), "EVENT_TYPE_CLICK", item=str(i)) for i in range(known)]))
+    got = [r.experience_id for r in training.negatives(pos, spark.range(items).select(F.col("id").cast("string").alias("experience_id")), per_positive).collect()]
+    assert len(set(got)) == len(got) == max(0, min(known * per_positive, items - known)) and not set(got) & {str(i) for i in range(known)}
+
+
 @pytest.mark.parametrize("kind, dwell, label", [("ACTION", None, 1.0), ("VIEW", 10_000, 0.7), ("CLICK", None, 0.5), ("VIEW", 3000, 0.3), ("VIEW", 2999, 0.1), ("NEGATIVE", None, 0.0)])
 def test_labels_fall_back_to_the_session(spark, kind, dwell, label):
     t = datetime(2024, 1, 30)

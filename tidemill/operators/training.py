@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,8 +30,50 @@ def pool_number(x: Column) -> Column:
     return F.conv(F.substring(F.md5(x), 1, 15), 16, 10).cast("bigint")
 
 
-def negatives(pos: DataFrame, pool: DataFrame, per_positive: int = 4, slots: int = 1 << 16) -> DataFrame:
-    """per_positive items of the pool for each positive, never a known positive of the user.
+def _as_negatives(pairs: DataFrame) -> DataFrame:
+    return pairs.select("user_id", "experience_id", F.lit(0).alias("engagement_strength"), F.lit(None).cast("timestamp_ntz").alias("event_timestamp"), F.lit(0.0).alias("label"), F.lit("random_negative").alias("sample_type"))
+
+
+def _prime_factors(n: int) -> list[int]:
+    found, q = [], 2
+    while q * q <= n:
+        if n % q == 0:
+            found.append(q)
+            while n % q == 0:
+                n //= q
+        q += 1
+    return found + [n] * (n > 1)
+
+
+def negatives(pos: DataFrame, pool: DataFrame, per_positive: int = 4) -> DataFrame:
+    """per_positive items of the pool for each positive, never a known positive of the user; fewer only where the pool has no more.
+
+    No cross join: all items are numbered in the order of a hash, by the sizes of hash buckets and the
+    rank within each. A user walks the numbers from a hashed start with a hashed step that has no
+    common factor with their count, so that no number comes twice; the first ones that are not
+    positives are the user's. A user's pairs are distinct.
+    """
+    number = lambda tag: pool_number(F.concat_ws("|", "user_id", F.lit(tag)))
+    items = pool.select("experience_id").filter("experience_id IS NOT NULL").distinct().withColumn("bucket", F.pmod(pool_number(F.col("experience_id")), F.lit(1 << 16)))
+    sizes = items.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    total = max(sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], 1)
+    before = sizes.select("bucket", (F.sum("size").over(Window.orderBy("bucket")) - F.col("size")).alias("before"))  # at most 65,536 rows
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("experience_id")) - 1
+    numbered = items.withColumn("rank", rank).join(before, "bucket").select((F.col("before") + F.col("rank")).alias("r"), "experience_id")
+    known = pos.select("user_id", "experience_id").distinct()
+    users = known.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    coprime = lambda x: F.lit(True) if not (f := _prime_factors(total)) else ~F.array_contains(F.array(*[x % q == 0 for q in f]), True)
+    begin = F.pmod(number("start"), F.lit(total)).alias("begin")
+    near = F.pmod(number("step"), F.lit(total)) + 1
+    step = F.pmod(F.filter(F.sequence(near, near + 127), coprime)[0], F.lit(total)).alias("step")  # 13 factors leave no longer gap than 74
+    walk = users.select("user_id", "n", begin, step).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.least((per_positive + 1) * F.col("n"), F.lit(total)) - 1)).alias("k"))
+    drawn = walk.withColumn("r", F.pmod(F.col("begin") + F.col("k") * F.col("step"), F.lit(total))).join(numbered, "r")
+    free = drawn.join(known, ["user_id", "experience_id"], "left_anti").withColumn("turn", F.row_number().over(Window.partitionBy("user_id").orderBy("k")))
+    return _as_negatives(free.filter(F.col("turn") <= per_positive * F.col("n")))
+
+
+def negatives_by_slots(pos: DataFrame, pool: DataFrame, per_positive: int = 4, slots: int = 1 << 16) -> DataFrame:
+    """At most per_positive items for each positive by the rule of the registered queries' SQL: of the items that fall on one slot only the lowest can be drawn, and nothing is drawn again.
 
     No cross join: the pool's items are numbered by hash into slots, and each positive draws slots
     by a seeded hash of (user, item, draw). Draws that hit an empty slot take the next used one
@@ -43,7 +86,7 @@ def negatives(pos: DataFrame, pool: DataFrame, per_positive: int = 4, slots: int
     total = ranked.select("n").limit(1)
     wanted = draws.join(F.broadcast(total), F.lit(True)).withColumn("r", F.pmod(pool_number(F.concat_ws("|", "user_id", "_for", F.col("draw").cast("string"))), F.col("n")))
     drawn = wanted.drop("n").join(F.broadcast(ranked.select("r", "experience_id")), "r").select("user_id", "experience_id").distinct()
-    return drawn.join(pos.select("user_id", "experience_id"), ["user_id", "experience_id"], "left_anti").select("user_id", "experience_id", F.lit(0).alias("engagement_strength"), F.lit(None).cast("timestamp_ntz").alias("event_timestamp"), F.lit(0.0).alias("label"), F.lit("random_negative").alias("sample_type"))
+    return _as_negatives(drawn.join(pos.select("user_id", "experience_id"), ["user_id", "experience_id"], "left_anti"))
 
 
 def cross_features(df: DataFrame, bucket: bool = True) -> DataFrame:
@@ -53,9 +96,9 @@ def cross_features(df: DataFrame, bucket: bool = True) -> DataFrame:
     return out.withColumn("distance_bucket", distance_bucket(F.col("distance_km"))) if bucket else out
 
 
-def two_tower(feedback: DataFrame, users: DataFrame, experiences: DataFrame, d: date, per_positive: int = 4) -> DataFrame:
+def two_tower(feedback: DataFrame, users: DataFrame, experiences: DataFrame, d: date, per_positive: int = 4, draw: Callable[..., DataFrame] = negatives) -> DataFrame:
     pos = positives(feedback)
-    samples = pos.unionByName(negatives(pos, experiences.select("experience_id"), per_positive)).drop("event_timestamp")
+    samples = pos.unionByName(draw(pos, experiences.select("experience_id"), per_positive)).drop("event_timestamp")
     both = samples.join(users, "user_id", "left").join(experiences, "experience_id", "left")
     return cross_features(both, bucket=False).withColumn("training_date", F.lit(d))
 

@@ -100,7 +100,7 @@ def training_positives(s, d):
 
 
 def training_negatives(s, d):
-    return training.negatives(training.positives(src.feedback(s, d)), _items(s, d)).select("user_id", "experience_id", "label")
+    return training.negatives_by_slots(training.positives(src.feedback(s, d)), _items(s, d)).select("user_id", "experience_id", "label")
 
 
 def _users(s, d):
@@ -112,7 +112,7 @@ def _items(s, d):
 
 
 def two_tower(s, d):
-    out = training.two_tower(src.feedback(s, d), _users(s, d), _items(s, d), D)
+    out = training.two_tower(src.feedback(s, d), _users(s, d), _items(s, d), D, draw=training.negatives_by_slots)
     return flat(out.select("user_id", "experience_id", "label", "engagement_strength", "sample_type", "user_social_score", "exp_price_tier", "distance_km", "same_city"), 3)
 
 

@@ -9,8 +9,10 @@ block_at. Rules by host suffix and path prefix override the verdict; the longest
 All statistics are aggregates over all urls. A node may have any number of children: siblings are
 binned by their counts, and the bins of a node are clustered as a stream.
 
-Cases: a null url, or one without `://`, has empty host and path and the root template; segments
-beyond max_depth become `**`; urls that repeat count each time; without labels, everything is
+Paths have any depth. A node with less than min_support urls is not refined further, and what all
+paths of a node share is passed in one step, so there is one round for each level that branches.
+
+Cases: a null url, or one without `://`, has empty host and path and the root template; urls that repeat count each time; without labels, everything is
 allowed by the method; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +43,6 @@ class Rule:
 @dataclass(frozen=True)
 class TemplateSettings:
     min_support: int = 20
-    max_depth: int = 8
     merge_z: float = 1.96
     prior_weight: float = 8.0
     block_at: float = 0.5
@@ -66,11 +68,10 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Colu
     return name, action
 
 
-def segments_of(path: Column, max_depth: int) -> Column:
-    """Segments with numbers and hex strings generalised; what lies deeper than max_depth becomes `**`."""
+def segments_of(path: Column) -> Column:
+    """Segments with numbers and hex strings generalised."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    shaped = F.transform(parts, lambda s: F.regexp_replace(F.regexp_replace(s, r"(?i)\b(?=[0-9a-f-]*[0-9])[0-9a-f-]{12,}\b", "<hex>"), r"[0-9]+", "<n>"))
-    return F.when(F.size(shaped) > max_depth, F.concat(F.slice(shaped, 1, max_depth), F.array(F.lit("**")))).otherwise(shaped)
+    return F.transform(parts, lambda s: F.regexp_replace(F.regexp_replace(s, r"(?i)\b(?=[0-9a-f-]*[0-9])[0-9a-f-]{12,}\b", "<hex>"), r"[0-9]+", "<n>"))
 
 
 def _clusters(z: float):
@@ -113,16 +114,32 @@ def build_templates(urls: DataFrame, settings: TemplateSettings = TemplateSettin
     """urls(host, segs, bad: 1, 0 or null) -> (host, segs, template, labelled, bad, purity, block), one row a path shape."""
     s = settings
     state = urls.groupBy("host", "segs").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("lab"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad"))
-    state = materialize(state.withColumn("tmpl", F.lit("")), "url-shapes")
-    depth = state.agg(F.max(F.size("segs"))).first()[0] or 0
-    for d in range(depth):
-        deep = state.filter(F.size("segs") > d).withColumn("seg", F.col("segs")[d]).withColumn("rest", F.array_join(F.expr(f"slice(segs, {d + 2}, size(segs))"), "/"))
-        stats = [F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("bad").alias("bad")]
-        child = deep.groupBy("host", "tmpl", "seg", "rest").agg(*stats).groupBy("host", "tmpl", "seg").agg(F.max_by("rest", F.struct("n", "rest")).alias("rest"), *stats)
+    stats = [F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("bad").alias("bad")]
+    columns = ["host", "segs", "n", "lab", "bad", "tmpl"]
+    done, open_ = [], materialize(state.select("*", F.lit("").alias("tmpl"), F.col("segs").alias("left")), "url-shapes")
+    while True:  # one round a level at which open nodes branch
+        here = open_.filter(F.size("left") > 0)
+        done.append(open_.filter(F.size("left") == 0).select(columns))
+        nodes = here.groupBy("host", "tmpl").agg(F.sum("n").alias("total"), F.min("left").alias("lo"), F.max("left").alias("hi"))
+        differ = F.array_position(F.zip_with("lo", "hi", lambda a, b: a.eqNullSafe(b)), False)  # what the lowest and the highest share, all share
+        nodes = nodes.select("host", "tmpl", "total", F.when(differ == 0, F.size("lo")).otherwise(differ - 1).cast("int").alias("same"))
+        at = salted_left_join(here, nodes, ["host", "tmpl"], F.xxhash64("segs"))
+        rare = F.col("total") < s.min_support
+        head = F.when(rare, F.repeat(F.lit("/*"), F.size("left"))).otherwise(F.concat_ws("", F.transform(F.slice("left", F.lit(1), F.col("same")), lambda x: F.concat(F.lit("/"), x))))
+        after = F.when(rare, F.slice("left", 1, 0)).otherwise(F.slice("left", F.col("same") + 1, F.size("left")))
+        moved = materialize(at.select(*columns[:-1], F.concat("tmpl", head).alias("tmpl"), after.alias("left")), "url-moved")
+        done.append(moved.filter(F.size("left") == 0).select(columns))
+        if len(done) > 16:
+            done = [materialize(reduce(DataFrame.unionByName, done), "url-done")]
+        deep = moved.filter(F.size("left") > 0).withColumn("seg", F.col("left")[0]).withColumn("left", F.slice("left", F.lit(2), F.size("left")))
+        if deep.isEmpty():
+            break
+        by_rest = deep.groupBy("host", "tmpl", "seg", F.array_join("left", "/").alias("rest")).agg(*stats)
+        child = by_rest.groupBy("host", "tmpl", "seg").agg(F.max_by("rest", F.struct("n", "rest")).alias("rest"), *stats)
         labels = materialize(sibling_labels(child.filter(F.col("n") >= s.min_support), s.merge_z), "url-labels")
-        step = state.withColumn("seg", F.when(F.size("segs") > d, F.col("segs")[d])).join(labels, ["host", "tmpl", "seg"], "left")
-        grown = F.when(F.col("seg").isNull(), F.col("tmpl")).otherwise(F.concat("tmpl", F.lit("/"), F.coalesce("label", F.lit("*"))))
-        state = materialize(step.select("host", "segs", "n", "lab", "bad", grown.alias("tmpl")), "url-level")
+        grown = F.concat("tmpl", F.lit("/"), F.coalesce("label", F.lit("*")))
+        open_ = materialize(deep.join(labels, ["host", "tmpl", "seg"], "left").select(*columns[:-1], grown.alias("tmpl"), "left"), "url-level")
+    state = materialize(reduce(DataFrame.unionByName, done), "url-done")
     tmpl = state.groupBy("host", "tmpl").agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad"))
     host = tmpl.groupBy("host").agg(F.sum("lab").alias("hlab"), F.sum("bad").alias("hbad"))
     all_lab, all_bad = tmpl.agg(F.coalesce(F.sum("lab"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
@@ -136,7 +153,7 @@ def build_templates(urls: DataFrame, settings: TemplateSettings = TemplateSettin
 def judge_urls(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None, settings: TemplateSettings = TemplateSettings()) -> DataFrame:
     """pages(page_id, url) with host, path, rule, verdict, template and purity. labels: (page_id, bad), one row a page."""
     rows = pages.select("page_id", F.col("url").alias("_url")).select("page_id", host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path"))
-    rows = rows.withColumn("segs", segments_of(F.col("path"), settings.max_depth))
+    rows = rows.withColumn("segs", segments_of(F.col("path")))
     marked = rows.withColumn("bad", F.lit(None).cast("int")) if labels is None else rows.join(labels.select("page_id", "bad"), "page_id", "left")
     templates = materialize(build_templates(marked.select("host", "segs", "bad"), settings), "url-templates")
     out = salted_left_join(rows, templates, ["host", "segs"], F.xxhash64("page_id", "path"))

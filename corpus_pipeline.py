@@ -29,10 +29,30 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by Jaccard similarity >= 0.8 on five-word shingles the lowest id stays."""
-    groups = near_duplicates(docs.select("doc_id", "text"), width=5, percent=80)
-    lost = materialize(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "near-lost")
-    return anti_by_id(docs, lost, "doc_id").select(*docs.columns)
+    """Of each group linked by Jaccard similarity >= 0.8 on five-word shingles the row with the lowest id stays (null ids come last).
+
+    A row is its id and text. Where an id is null or has several texts, rows get keys of their own.
+    """
+    row = ["doc_id", "_sha"]
+    rows = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_sha")).distinct()
+    unclear = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1 OR doc_id IS NULL").select("doc_id")
+    own = rows.alias("r").join(unclear.alias("u"), F.col("r.doc_id").eqNullSafe(F.col("u.doc_id")), "left_semi")
+    least = docs.agg(F.least(F.coalesce(F.min("doc_id"), F.lit(0)), F.lit(0))).first()[0]
+    own = materialize(own.select(*row, (F.lit(least).cast("long") - 1 - F.monotonically_increasing_id()).alias("_key")), "near-keys")
+    if own.isEmpty():
+        groups = near_duplicates(docs.select("doc_id", "text"), width=5, percent=80)
+        lost = materialize(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "near-lost")
+        return anti_by_id(docs, lost, "doc_id").select(*docs.columns)
+    sha = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256)).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d._sha") == F.col("o._sha"))
+    keyed = sha.join(own.alias("o"), same, "left").select("d.*", F.coalesce("o._key", "d.doc_id").alias("_key"))
+    keyed = materialize(keyed.drop("_sha"), "near-keyed")
+    groups = near_duplicates(keyed.select("_key", "text"), id_col="_key", width=5, percent=80).select("_key", "component_id").distinct()
+    grouped = materialize(groups.join(own, "_key", "left").select("_key", "component_id", F.when(F.col("_sha").isNull(), F.col("_key")).otherwise(F.col("doc_id")).alias("doc_id"), "_sha"), "near-groups")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "_sha", "_key")
+    stays = grouped.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col("first._key").alias("_key"))
+    lost = materialize(grouped.join(stays, "_key", "left_anti").select("_key"), "near-lost")
+    return anti_by_id(keyed, lost, "_key").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

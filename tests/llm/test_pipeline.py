@@ -26,3 +26,11 @@ def test_run_packs_what_is_left(spark):
     rows = cp.run(spark, SF)
     lengths = rows.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
     assert lengths and all(r.n <= 2048 for r in lengths)
+
+
+def test_near_dedup_drops_rows_not_ids(spark):
+    base = " ".join(f"w{i}" for i in range(80))
+    clean, lone = " ".join(f"c{i}" for i in range(80)), " ".join(f"n{i}" for i in range(80))
+    rows = [(1, base), (2, base + " x"), (2, clean), (None, base + " y"), (None, lone), (None, lone + " z"), (3, "short one"), (4, None)]
+    got = cp.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert len(got) == 5 and {(r.doc_id, r.text) for r in got} - {(None, lone), (None, lone + " z")} == {(1, base), (2, clean), (3, "short one"), (4, None)}

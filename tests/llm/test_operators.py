@@ -298,6 +298,15 @@ def test_warc_round_trip(spark):
     assert warc.export_bundle(bundles, one.bundle_id) == bytes(one.content) and warc.read_bundles(warc.write_bundles(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
 
 
+def test_warc_record_by_page(spark, monkeypatch):
+    rows = [(i, f"u{i}", "<p>" + f"{i} " * 400) for i in range(40)] + [(7, "again", "other"), (None, "none", "x")]
+    bundles = warc.write_bundles(spark.createDataFrame(rows, "page_id long, url string, html string"), frame_bytes=2000, bundle_bytes=500)
+    read, frames = warc.read_record, []
+    monkeypatch.setattr(warc, "read_record", lambda *x: frames.append(x[1]) or read(*x))
+    assert [(r["page_id"], r["url"]) for r in warc.find_records(bundles, 12)] == [(12, "u12")] and len(frames) == 1
+    assert sorted(r["url"] for r in warc.find_records(bundles, 7)) == ["again", "u7"] and warc.find_records(bundles, 99) == []
+
+
 def test_a_tile_of_two_is_compared_when_another_leader_comes_first(spark):
     """b links with a; a lower id shares b's last shingle only, so it is the leader that b tries first."""
     r, rows = random.Random(11), []

@@ -1,8 +1,8 @@
 """WARC archives in seekable Zstandard bundles.
 
 Records of a bundle are grouped into independent Zstandard frames; a skippable frame at the end holds
-the seek table (the public seekable format), and an index maps each record to its frame and its
-offset within the frame. Bundles are written as rows (bundle_id, content, index), so that Spark's
+the seek table (the public seekable format), and an index maps each record, by its page id, to its frame
+and its offset within the frame. Bundles are written as rows (bundle_id, content, index), so that Spark's
 commit protocol makes a repeated task harmless on any store; export_bundle() gives the bytes as a file.
 
 Of records with equal payloads of at least `min_bytes`, that with the largest id is the response and
@@ -16,6 +16,7 @@ largest id are all responses; an empty table gives no bundle; extra columns are
 from __future__ import annotations
 
 import hashlib
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ MIN_BYTES = 1000
 FRAME_BYTES = 256 << 10  # of records before compression
 BUNDLE_BYTES = 8 << 20  # of compressed frames
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed values of the Zstandard seekable format
-BUNDLE_SCHEMA = "bundle_id string, content binary, index array<struct<record:long, frame:int, offset:int, length:int>>"
+BUNDLE_SCHEMA = "bundle_id string, content binary, index array<struct<record:long, page_id:long, frame:int, offset:int, length:int>>"
 RECORD_SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
@@ -67,10 +68,10 @@ class BundleWriter:
         self.index: list[dict] = []
         self.open, self.open_bytes, self.packed = [], 0, 0
 
-    def add(self, record: bytes) -> None:
+    def add(self, record: bytes, page_id: int | None = None) -> None:
         if self.open and self.open_bytes + len(record) > self.frame_bytes:
             self._close_frame()
-        self.index.append({"record": len(self.index), "frame": len(self.frames), "offset": self.open_bytes, "length": len(record)})
+        self.index.append({"record": len(self.index), "page_id": page_id, "frame": len(self.frames), "offset": self.open_bytes, "length": len(record)})
         self.open.append(record)
         self.open_bytes += len(record)
 
@@ -133,11 +134,11 @@ def write_bundles(pages: DataFrame, min_bytes: int = MIN_BYTES, frame_bytes: int
 
         def done() -> pa.RecordBatch:
             content, index = writer.finish()
-            return pa.RecordBatch.from_pylist([{"bundle_id": f"{task:06d}-{made:06d}", "content": content, "index": index}], schema=pa.schema([("bundle_id", pa.string()), ("content", pa.binary()), ("index", pa.list_(pa.struct([("record", pa.int64()), ("frame", pa.int32()), ("offset", pa.int32()), ("length", pa.int32())])))]))
+            return pa.RecordBatch.from_pylist([{"bundle_id": f"{task:06d}-{made:06d}", "content": content, "index": index}], schema=pa.schema([("bundle_id", pa.string()), ("content", pa.binary()), ("index", pa.list_(pa.struct([("record", pa.int64()), ("page_id", pa.int64()), ("frame", pa.int32()), ("offset", pa.int32()), ("length", pa.int32())])))]))
 
         for batch in slices(batches, "html", 4 << 20):
             for row in batch.to_pylist():
-                writer.add(record_bytes(row["page_id"], row["url"], row["html"].encode(), row["digest"], row["refers_to"]))
+                writer.add(record_bytes(row["page_id"], row["url"], row["html"].encode(), row["digest"], row["refers_to"]), row["page_id"])
                 if writer.packed >= bundle_bytes:
                     yield done()
                     made += 1
@@ -170,6 +171,16 @@ def read_bundles(bundles: DataFrame, payload: bool = True) -> DataFrame:
     return bundles.select("bundle_id", "content", "index").mapInArrow(read, wanted)
 
 
+def find_records(bundles: DataFrame, page_id: int) -> list[dict]:
+    """The records of one page (several if its rows repeat). The indexes tell where they are; only their frames are decompressed."""
+    place = bundles.select("bundle_id", F.explode("index").alias("place")).filter(F.col("place.page_id") == page_id).select("bundle_id", "place.*")
+    out = []
+    for bundle_id, places in itertools.groupby(sorted(place.collect(), key=lambda p: (p.bundle_id, p.record)), key=lambda p: p.bundle_id):
+        content = export_bundle(bundles, bundle_id)
+        out += [parse_record(read_record(content, p.frame, p.offset, p.length)) for p in places]
+    return out
+
+
 def export_bundle(bundles: DataFrame, bundle_id: str) -> bytes:
     """The bytes of one .warc.zst file."""
     return bytes(bundles.filter(F.col("bundle_id") == bundle_id).select("content").first()[0])

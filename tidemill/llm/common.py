@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SALTS = 16
+HOT_KEYS = 2048  # the most rows that counted_join() broadcasts
 BITMAP_BITS = 1 << 23  # 256 rows of 4 KiB: what a bounded bitmap broadcasts never exceeds 1 MiB
 
 
@@ -50,7 +52,27 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts lineage and survives lost executors."""
     path = fresh_path(df.sparkSession, tag)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Deletes tables of materialize() that nothing reads any more; the rest go when the session ends."""
+    for df in written:
+        _remove(df.sparkSession, df.written_at)
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of df has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 # ---------------------------------------------------------------- joins
@@ -59,26 +81,57 @@ def salted_left_join(left: DataFrame, groups: DataFrame, keys: list[str], salt_b
 
     The right side is repeated once a salt, so it should hold groups only, not rows.
     """
-    spread = groups.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return left.withColumn("_salt", F.pmod(salt_by, F.lit(salts)).cast("int")).join(spread, [*keys, "_salt"], "left").drop("_salt")
+    (salt,) = free_names(left, "_salt")
+    spread = groups.withColumn(salt, F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return left.withColumn(salt, F.pmod(salt_by, F.lit(salts)).cast("int")).join(spread, [*keys, salt], "left").drop(salt)
+
+
+def counted_join(left: DataFrame, groups: DataFrame, key: str, count: str, total: int, salt_by: Column, hot: int = HOT_KEYS, salts: int = 64) -> DataFrame:
+    """left JOIN groups (one row a key, with the number of its rows in `left`), however the rows are spread over the keys.
+
+    A key of more than total / hot rows is hot. There are fewer than `hot` of them, so they can be broadcast
+    to mark their rows, which are then dealt over `salts` tasks; no other key can fill a task.
+    """
+    (mark, salt) = free_names(left, "_hot", "_salt")
+    is_hot = F.col(count) > max(1, total // hot)
+    some = F.broadcast(groups.filter(is_hot).select(key, F.lit(True).alias(mark)))
+    dealt = left.join(some, key, "left").withColumn(salt, F.when(F.col(mark), F.pmod(salt_by, F.lit(salts)).cast("int")).otherwise(0)).drop(mark)
+    spread = groups.withColumn(salt, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return dealt.join(spread, [key, salt]).drop(salt)
 
 
 def bitmap_of(keys: DataFrame, h: Column, bits: int = BITMAP_BITS) -> DataFrame:
     """A bitmap of hashed keys as at most bits/32768 rows of 4 KiB, built by partial aggregation."""
     at = F.pmod(h, F.lit(bits)) + 1
-    return keys.select(at.alias("_at")).groupBy(F.bitmap_bucket_number("_at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_map"))
+    return keys.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map"))
+
+
+def marked(df: DataFrame, h: Column, bitmap: DataFrame, name: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """df with a column that tells whether a row's hash may be among the keys of the bitmap: false is certain.
+
+    The broadcast side has a proven bound (bits / 8 bytes).
+    """
+    at, bucket, map_ = free_names(df, "_at", "_bucket", "_map")
+    both = df.withColumn(at, F.pmod(h, F.lit(bits))).join(F.broadcast(bitmap.withColumnsRenamed({"bucket": bucket, "map": map_})), F.expr(f"1 + {at} div 32768") == F.col(bucket), "left")
+    byte = F.expr(f"cast(conv(hex(substring({map_}, cast(({at} % 32768) div 8 as int) + 1, 1)), 16, 10) as bigint)")
+    return both.withColumn(name, F.coalesce(F.getbit(byte, F.expr(f"cast({at} % 8 as int)")) == 1, F.lit(False))).drop(at, bucket, map_)
 
 
 def maybe_in(df: DataFrame, h: Column, bitmap: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
     """Rows of df whose hash may be among the keys of the bitmap: no key is missed, so an exact join may follow.
 
-    The broadcast side has a proven bound (bits / 8 bytes). When the keys fill the bitmap
-    every row passes and the exact join does all the work.
+    When the keys fill the bitmap every row passes and the exact join does all the work.
     """
-    at = df.withColumn("_at", F.pmod(h, F.lit(bits)))
-    hit = at.join(F.broadcast(bitmap), F.expr("1 + _at div 32768") == F.col("_bucket"), "inner")
-    byte = F.expr("cast(conv(hex(substring(_map, cast((_at % 32768) div 8 as int) + 1, 1)), 16, 10) as bigint)")
-    return hit.filter(F.getbit(byte, F.expr("cast(_at % 8 as int)")) == 1).drop("_at", "_bucket", "_map")
+    (name,) = free_names(df, "_maybe")
+    return marked(df, h, bitmap, name, bits).filter(F.col(name)).drop(name)
+
+
+def without(df: DataFrame, lost: DataFrame, key: str) -> DataFrame:
+    """df without the rows whose key is in lost (a written table of keys). Rows that the bitmap clears stay in their task; the others meet lost in an exact join. A null key stays."""
+    (name,) = free_names(df, "_maybe")
+    rows = marked(df, F.xxhash64(key), bitmap_of(lost, F.xxhash64(key)), name)
+    stay, maybe = rows.filter(~F.col(name)).drop(name), rows.filter(F.col(name)).drop(name)
+    return stay.unionByName(maybe.join(lost.select(key), key, "left_anti"))
 
 
 def components(edges: DataFrame, tag: str, max_rounds: int = 60) -> DataFrame:
@@ -154,30 +207,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
-_pow: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_pow[0]) < n:
-        size = max(n, 1 << 16)
-        for i, base in ((0, _P), (1, _P_INV)):
-            x = np.full(size, base, np.uint64)
-            x[0] = 1
-            _pow[i] = np.multiply.accumulate(x)
-    return _pow[0][:n], _pow[1][:n]
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte spans data[start:end], equal for equal spans wherever they stand.
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of values[start:end], equal for equal spans wherever they stand. values: small integers."""
-    n = len(values)
-    up, down = _powers(n + 1)
-    table = mix(np.arange(1, int(values.max(initial=0)) + 2, dtype=np.uint64)) if n and values.dtype == np.uint8 else None
-    terms = (table[values] if table is not None else mix(values.astype(np.uint64) + np.uint64(1))) * up[:n]
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(terms, out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    Eight bytes at a time pass through the finaliser of a state that begins with seed and length, so
+    no regular pattern of bytes cancels out, as it does in a polynomial; a secret seed
+    hides the state from whoever writes the texts.
+    """
+    size = ends - starts
+    h = mix(size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed))
+    if not len(starts):
+        return h
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ascontiguousarray(np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,)))
+    h = mix(h ^ (eight[np.minimum(starts, len(data))] & _MASK[np.minimum(size, 8)]))
+    long, step = np.flatnonzero(size > 8), 8
+    while len(long):
+        if step > 256:  # a few very long spans: by a hash of the library, so that none takes thousands of steps
+            for k in long.tolist():
+                digest = hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8, key=int(seed).to_bytes(8, "little")).digest()
+                h[k] = np.frombuffer(digest, np.uint64)[0]
+            break
+        h[long] = mix(h[long] ^ (eight[starts[long] + step] & _MASK[np.minimum(size[long] - step, 8)]))
+        step += 8
+        long = long[size[long] > step]
+    return h
 
 
 def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -7,46 +7,53 @@
 2. Prefix shingles are counted over all representatives. One that shares fewer than l of its prefix
    shingles cannot link and goes. For the others only the rarest c - l + 1 shared ones open tiles.
 3. A tile is (size band, shingle): a set is at home in its band and a visitor in the next, as sets
-   that link differ by less than one band. Of tiles with the same members one is kept. Twice, every
-   member is paired with one leader of its tiles from another component: that settles groups of
-   copies in linear work. Tiles (of two members, too: a member tries one leader of all its tiles)
-   whose members still lie in different components then pair across components only, in blocks of bounded size, pruned by size and by 1024-bit parity signatures:
-   differing bits bound the symmetric difference from below and so the overlap from above.
-4. Pairs that pass the bound of a wider signature are settled by intersecting the sorted sets.
-
-near_duplicates() gives components only. near_duplicate_links() skips step 3's leaders, compares within
-components too and gives every link.
-
-No candidate, partner or tile is capped. Components come from star rounds over written tables.
+   that link differ by less than one band. Of tiles with the same members one is kept. Within a
+   tile pairs are pruned by size and by hashed bitmap signatures: the count of differing parity bits
+   bounds the symmetric difference from below and so the overlap from above. What a tile gives is
+   only a spanning forest of the pairs that pass, so never more rows than it has members.
+4. The components of those forests are clusters: sets that link are in one cluster. The shingles
+   of each set go once to its cluster, where pairs that pass the bound are settled by intersecting the
+   sorted arrays. Here too a spanning forest of the links is given: pairs that are already in one
+   component by other links are not compared.
+5. Tiles and clusters of more than one block first compare each member with one leader. Blocks then pair
+   the leader's group with the rest and the rest with itself, never the group with itself.
+
+near_duplicates() gives components. near_duplicate_links() gives every link: there blocks pair all
+members and skip nothing.
+
+No candidate, partner, tile or cluster is capped. Components come from star rounds over written tables;
+a written table is deleted as soon as nothing reads it.
 
 Cases: a null or empty text has an empty set and links with nothing; null ids are dropped from
 linking and reported with their own null component; rows repeated under an id are one document,
 and an id with several texts is linked by each; an empty table gives an empty result; extra columns
-are ignored.
+are ignored. Words are hashed with a secret seed for each call, so that texts cannot be made to collide.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, components, lowered, materialize, maybe_in, mix, salted_left_join, slices, sorted_unique, span_hashes, utf8, words_of
+from .common import bitmap_of, components, counted_join, discard, lowered, materialize, maybe_in, mix, salted_left_join, slices, sorted_unique, span_hashes, utf8, words_of
 
 CHUNK_BYTES = 512 << 10
-SIG_BITS, WIDE_BITS = 1024, 8192  # within a tile; for pairs before their sets are fetched
-BLOCK = 2048  # members of a tile that one block compares
+SIG_BITS = (1024, 16384)  # of a signature: two a shingle, within these bounds
+TILE_MEMBERS = 2048  # members of a tile that one block compares
+CLUSTER_BYTES = 16 << 20  # of shingles that one block of a cluster holds
+LOOSE = 20  # a leader takes sets into its candidate group at a threshold lower by so many percent
 
 
-def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> list[np.ndarray]:
+def shingle_sets(data: np.ndarray, at: np.ndarray, width: int, seed: int = 0) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     data = lowered(data)
     starts, ends, first = words_of(data, at)
-    w = span_hashes(data, starts, ends)
+    w = span_hashes(data, starts, ends, seed)
     odd = [np.uint64(mix(np.array([k + 11], np.uint64))[0] | np.uint64(1)) for k in range(width + 1)]
     n = max(0, len(w) - width + 1)
     h = np.zeros(n, np.uint64)
@@ -74,16 +81,34 @@ def wanted(n: int) -> int:
     return n // 20 + 1
 
 
-def signature(tokens: np.ndarray, size: int = SIG_BITS) -> np.ndarray:
+def band_of(n: Column, percent: int) -> Column:
+    return F.floor(F.log(n.cast("double")) / band_step(percent)).cast("int")
+
+
+def band_step(percent: int) -> float:
+    return float(np.log(100 / percent) * 1.0001)
+
+
+def signature_bits(n: float) -> int:
+    """Bits of a signature for sets of up to n: a power of two, so that a longer signature folds into a shorter one."""
+    return min(max(SIG_BITS[0], 1 << int(np.ceil(np.log2(max(2 * n, 2))))), SIG_BITS[1])
+
+
+def signature(tokens: np.ndarray, bits: int) -> np.ndarray:
     """Parity of the hashes that fall on each bit: each differing element turns one bit at most."""
-    bits = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % size, minlength=size) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
+    odd = np.bincount((tokens >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(sig: np.ndarray, words: int) -> np.ndarray:
+    """A signature as it would be with fewer bits."""
+    return np.bitwise_xor.reduce(sig.reshape(-1, words), axis=0)
 
 
-def _sketch(width: int, percent: int):
+def _sketch(width: int, percent: int, seed: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK_BYTES):
-            sets = shingle_sets(*utf8(batch.column("text")), width)
+            sets = shingle_sets(*utf8(batch.column("text")), width, seed)
             prefix = [s[: min(len(s), len(s) - least_overlap(len(s), percent) + wanted(len(s)))] for s in sets]
             key = [(int(mix(s + np.uint64(7)).sum(dtype=np.uint64).view(np.int64)), int((mix(s) * (s | np.uint64(1))).sum(dtype=np.uint64).view(np.int64))) for s in sets]
             flat = np.concatenate(prefix) if prefix else np.zeros(0, np.uint64)
@@ -93,177 +118,282 @@ def _sketch(width: int, percent: int):
     return sketch
 
 
-def _sets(width: int):
+def _sets(width: int, percent: int, seed: int):
+    def bits(n: int) -> int:  # enough for the wider of the two bands that the set is in
+        step = band_step(percent)
+        return signature_bits(np.exp((np.floor(np.log(max(n, 1)) / step) + 2) * step))
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK_BYTES):
-            got = shingle_sets(*utf8(batch.column("text")), width)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in got], pa.int64()), pa.array([signature(s).tobytes() for s in got], pa.binary()), pa.array([signature(s, WIDE_BITS).tobytes() for s in got], pa.binary()), pa.array([s.tobytes() for s in got], pa.binary())], names=["id", "n", "sig", "wide", "tokens"])
+            got = shingle_sets(*utf8(batch.column("text")), width, seed)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in got], pa.int64()), pa.array([signature(s, bits(len(s))).tobytes() for s in got], pa.binary()), pa.array([s.tobytes() for s in got], pa.binary())], names=["id", "n", "sig", "tokens"])
 
     return sets
 
 
-def sizes_fit(a, b, percent: int):
-    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
-
-
 def bound_reaches(na, nb, bits, percent: int):
     """Whether sets of these sizes whose signatures differ in `bits` can still link: overlap <= (na + nb - bits) / 2."""
     most = (na + nb - bits) // 2
     return 100 * most >= percent * (na + nb - most)
 
 
-def _passes(percent: int):
-    def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            sig = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(na), -1) for c in ("sa", "sb")]
-            ok = sizes_fit(na, nb, percent) & bound_reaches(na, nb, np.bitwise_count(sig[0] ^ sig[1]).sum(1).astype(np.int64), percent)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+def common(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted array with others."""
+    flat = np.concatenate(others)
+    hit = x[np.minimum(np.searchsorted(x, flat), len(x) - 1)] == flat
+    return np.add.reduceat(hit, np.cumsum([0, *(len(o) for o in others[:-1])]), dtype=np.int64)
+
+
+def links_with(x: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    both = common(x, others)
+    return 100 * both >= percent * (len(x) + np.array([len(o) for o in others]) - both)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The rows of each key, of batches that are sorted by it."""
+    rest: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(c).to_numpy() for c in keys])
+        cut = [0, *(np.flatnonzero((values[:, 1:] != values[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+        for x, y in zip(cut, cut[1:]):
+            key = values[:, x].tolist()
+            if rest and key != last:
+                yield pa.Table.from_batches(rest)
+                rest = []
+            rest.append(batch.slice(x, y - x))
+            last = key
+    if rest:
+        yield pa.Table.from_batches(rest)
+
 
-    return passes
+def _ints(t: pa.Table, *names: str) -> list[np.ndarray]:
+    return [t.column(c).to_numpy() for c in names]
 
 
-def _settles(percent: int):
-    def settles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _forest(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, percent: int, fits, settle, every: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js) of the pairs that link; members stand in order of size. Unless `every`, only pairs that join components (comp: what is known of them) are looked at and given.
+
+    settle: the exact test of i with several j, or None.
+    """
+    label = np.unique(comp, return_inverse=True)[1]
+    step = max(1, (1 << 19) // (len(n) * sig.shape[1]))  # rows whose signatures are compared at once
+    for begin in range(0, len(n) - 1, step):
+        rows, cols = np.arange(begin, min(begin + step, len(n) - 1)), np.arange(begin + 1, len(n))
+        cols = cols[n[cols] <= 100 * n[rows[-1]] // percent]
+        if not every:
+            apart = label[rows][:, None] != label[cols]
+            rows, cols = rows[apart.any(1)], cols[apart.any(0)]
+        if not len(rows) or not len(cols):
+            continue
+        bits = np.bitwise_count(sig[rows][:, None] ^ sig[cols]).sum(2, dtype=np.int64)
+        ok = (cols > rows[:, None]) & (100 * n[rows][:, None] >= percent * n[cols]) & bound_reaches(n[rows][:, None], n[cols], bits, percent) & fits(rows[:, None], cols)
+        for r in np.flatnonzero(ok.any(1)).tolist():
+            i, own = int(rows[r]), ok[r]
+            j = cols[own][np.argsort(bits[r, own], kind="stable")]  # the likeliest first: they often settle the others of their component
+            j = j if every else j[label[j] != label[i]]
+            size = len(j) if every or settle is None else 8
+            while len(j):
+                now, j = j[:size], j[size:]
+                now = now if settle is None else now[settle(i, now)]
+                size *= 8
+                if every:
+                    if len(now):
+                        yield i, now
+                elif len(now):
+                    parts, first = np.unique(label[now], return_index=True)
+                    yield i, now[first]
+                    for part in parts.tolist():
+                        label[label == part] = label[i]
+                    j = j[label[j] != label[i]]
+
+
+def _pairs_of(ids: np.ndarray, found: Iterator[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    out = list(found)
+    a = np.concatenate([np.full(len(j), ids[i]) for i, j in out]) if out else np.zeros(0, np.int64)
+    b = np.concatenate([ids[j] for _, j in out]) if out else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _block_of(t: pa.Table):
+    """Which pairs of a block are its own: their parts are the block's two."""
+    (part,), lo, hi = _ints(t, "part"), t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
+    return lambda i, j: (np.minimum(part[j], part[i]) == lo) & (np.maximum(part[j], part[i]) == hi)
+
+
+def _near(percent: int):
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A spanning forest of the pairs of each block of a tile that pass the bounds."""
+        for t in runs(batches, ("key", "lo", "hi")):
+            t = t.sort_by("n")
+            ids, n, comp = _ints(t, "id", "n", "comp")
+            home, own = t.column("home").to_numpy(zero_copy_only=False), _block_of(t)
+            sigs = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("sig")]
+            words = min(map(len, sigs))
+            sig = np.stack([folded(x, words) for x in sigs])
+            yield _pairs_of(ids, _forest(sig, n, comp, percent, lambda i, j: (home[j] | home[i]) & own(i, j), None, False))
+
+    return near
+
+
+def _linked(percent: int, every: bool):
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The links of each block of a cluster: a spanning forest of them, or every one."""
+        for t in runs(batches, ("key", "lo", "hi")):
+            t = t.sort_by("n")
+            ids, n, comp = _ints(t, "id", "n", "comp")
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("tokens")]
+            bits = signature_bits(2 * int(n.max()))
+            sig = np.stack([signature(x, bits) for x in sets])
+            yield _pairs_of(ids, _forest(sig, n, comp, percent, _block_of(t), lambda i, j: links_with(sets[i], [sets[k] for k in j.tolist()], percent), every))
+
+    return linked
+
+
+def _led_near(percent: int):
+    def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            a, b, na, nb = (batch.column(c).to_numpy() for c in ("a", "id", "na", "n"))
             keep = []
-            for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True):
+            for k, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sig"), strict=True)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                words = min(len(x), len(y))
+                keep.append(bool(bound_reaches(na[k], nb[k], int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()), percent)))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return settles
+    return led
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: the signature bound first, the exact intersection for what is left."""
-    small, side = sets.select("id", "n", "wide"), sets.select("id", "tokens")
-    of = lambda df, x: df.withColumnsRenamed({"id": x, "n": f"n{x}", "wide": f"s{x}", "tokens": f"t{x}"})
-    near = pairs.join(of(small, "a"), "a").join(of(small, "b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_passes(percent), "a long, b long")
-    return near.join(of(side, "a"), "a").join(of(side, "b"), "b").select("a", "b", "ta", "tb").mapInArrow(_settles(percent), "a long, b long")
+def _led_linked(percent: int):
+    def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [bool(links_with(np.frombuffer(x.as_buffer(), np.uint64), [np.frombuffer(y.as_buffer(), np.uint64)], percent)[0]) for x, y in zip(batch.column("sa"), batch.column("tokens"), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("id")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    return led
 
-def _across(percent: int):
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by tile and block. Emits pairs of one block of a tile that lie in different components and pass the bounds."""
 
-        def pairs(t: pa.Table) -> pa.RecordBatch:
-            t = t.sort_by("n")
-            ids, n, comp = (t.column(c).to_numpy() for c in ("id", "n", "comp"))
-            home, part = t.column("home").to_numpy(zero_copy_only=False), t.column("part").to_numpy()
-            lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
-            sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint64).reshape(len(ids), -1)
-            out = []
-            for i in range(len(ids)):
-                j = np.arange(i + 1, int(np.searchsorted(n, 100 * n[i] // percent, "right")))
-                j = j[(comp[j] != comp[i]) & (home[j] | home[i]) & (np.minimum(part[j], part[i]) == lo) & (np.maximum(part[j], part[i]) == hi)]
-                if len(j):
-                    out.append((i, j[bound_reaches(n[i], n[j], np.bitwise_count(sig[i] ^ sig[j]).sum(1).astype(np.int64), percent)]))
-            a = np.concatenate([np.full(len(j), ids[i]) for i, j in out]) if out else np.zeros(0, np.int64)
-            b = np.concatenate([ids[j] for _, j in out]) if out else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-        rest: pa.Table | None = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([rest, t]) if rest is not None else t
-            keys = np.stack([t.column(c).to_numpy() for c in ("tile", "lo", "hi")])
-            cut = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()]
-            for x, y in zip(cut, cut[1:]):
-                yield pairs(t.slice(x, y - x))
-            rest = t.slice(cut[-1])
-        if rest is not None and rest.num_rows:
-            yield pairs(rest)
+def _compared(member: DataFrame, load: str, weight: Column, limit: int, leader_check, block_check, every: bool = False) -> DataFrame:
+    """member(key, id, n, <load>[, home]) -> the pairs (a, b) that block_check gives, written, with those of leader_check.
 
-    return across
+    A key whose weights add up to more than `limit` takes several blocks. Rows of such keys are first
+    compared with one leader; the blocks then leave out pairs within the leader's group.
+    """
+    member = member.withColumn("weight", weight)
+    sizes = materialize(member.groupBy("key").agg(F.sum("weight").alias("total"), F.count(F.lit(1)).alias("k")).filter(F.col("total") > limit), "ngram-large")
+    lead, led = None, None
+    if not every and not sizes.isEmpty():
+        some = salted_left_join(member, sizes, ["key"], F.xxhash64("id")).filter("k IS NOT NULL")
+        lead = materialize(some.groupBy("key").agg(F.min_by(F.struct("id", F.col("n"), F.col(load)), F.xxhash64("id", "key")).alias("l")).select("key", F.col("l.id").alias("a"), F.col("l.n").alias("na"), F.col(f"l.{load}").alias("sa")), "ngram-leaders")
+        beside = salted_left_join(member.select("key", "id", "n", load), lead, ["key"], F.xxhash64("id")).filter("a <> id")
+        led = materialize(beside.select("a", "id", "na", "n", "sa", load).mapInArrow(leader_check, "a long, b long"), "ngram-led")
+        group = materialize(led.select(F.col("a"), F.col("b").alias("id")).distinct(), "ngram-group")
+        keyed = salted_left_join(member, lead.select("key", "a"), ["key"], F.xxhash64("id"))
+        member = keyed.join(group.withColumn("in", F.lit(True)), ["a", "id"], "left").withColumn("main", F.coalesce("in", F.col("id") == F.col("a"), F.lit(False))).withColumn("comp", F.when(F.col("main"), F.col("a")).otherwise(F.col("id"))).drop("a", "in")
+    else:
+        member = member.withColumns({"main": F.lit(False), "comp": F.col("id")})
+    parts = lambda w: F.ceil(F.coalesce(F.sum(w), F.lit(0)) / limit).cast("int")
+    per = member.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("c"), F.max("comp").alias("d"), parts(F.when(F.col("main"), F.col("weight"))).alias("gp"), parts(F.when(~F.col("main"), F.col("weight"))).alias("rp"))
+    per = materialize(per.filter("c <> d" if not every else "k > 1").select("key", "gp", F.greatest("rp", F.lit(1)).alias("rp")), "ngram-blocks")
+    some = salted_left_join(member, per, ["key"], F.xxhash64("id")).filter("rp IS NOT NULL")
+    spot = lambda p: F.pmod(F.xxhash64("id", F.lit(7)), F.greatest(p, F.lit(1))).cast("int")
+    some = some.withColumn("part", F.when(F.col("main"), spot(F.col("gp"))).otherwise(F.col("gp") + spot(F.col("rp"))))
+    # the parts of the leader's group come first and do not meet one another
+    dealt = some.withColumn("other", F.explode(F.sequence(F.when(F.col("main"), F.col("gp")).otherwise(0), F.col("gp") + F.col("rp") - 1)))
+    dealt = dealt.select("key", "id", "n", "comp", *[c for c in ("home", load) if c in dealt.columns], "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+    sorted_ = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    out = sorted_.mapInArrow(block_check, "a long, b long")
+    out = materialize((out if led is None else out.unionByName(led)).filter("a <> b").distinct(), "ngram-pairs")
+    discard(sizes, per, *([lead, led, group] if led is not None else []))
+    return out
 
 
-def _tiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """sketch, followers (id, rep), tiles (tile, id, n, home) and the full sets of their members."""
+def _clusters(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, tile_members: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """sketch, followers (id, rep) of one text and of several, clusters (id, key) and the sets of their members."""
+    seed = secrets.randbits(63)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sketch = materialize(rows.mapInArrow(_sketch(width, percent), "id long, n long, k1 long, k2 long, prefix array<long>"), "ngram-sketch")
+    sketch = materialize(rows.mapInArrow(_sketch(width, percent, seed), "id long, n long, k1 long, k2 long, prefix array<long>"), "ngram-sketch")
     real = sketch.filter("n > 0 AND id IS NOT NULL")
 
     # copies of one set stand behind their lowest id
     groups = real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     same = materialize(groups.filter("copies > 1").drop("copies"), "ngram-same")
-    plain = sketch.select("id", "n", "k1", "k2")
-    followers = materialize(plain.join(same, ["n", "k1", "k2"]).filter("id <> rep").select("id", "rep").distinct(), "ngram-followers")
-    few = bitmap_of(followers, F.xxhash64("id"))
+    behind = salted_left_join(sketch.select("id", "n", "k1", "k2"), same, ["n", "k1", "k2"], F.xxhash64("id")).filter("id <> rep").select("id", "rep").distinct()
+    behind = materialize(behind, "ngram-behind")
 
     # shared prefix shingles; followers are left out, but an id with several texts keeps all of them
     first = real.select("id", "n", "prefix")
-    maybe = maybe_in(first.select("id", "n").distinct(), F.xxhash64("id"), few)
-    gone = maybe.join(followers.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1").select("id")
-    posts = first.join(materialize(gone, "ngram-gone"), "id", "left_anti").select("id", "n", F.explode("prefix").alias("token"))
-    df = posts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    shared = posts.join(df, "token").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    maybe = maybe_in(sketch.select("id", "n", "k1", "k2").distinct(), F.xxhash64("id"), bitmap_of(behind, F.xxhash64("id")))
+    gone = maybe.join(behind.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1").select("id")
+    gone = materialize(gone, "ngram-gone")
+    followers, several = behind.join(gone, "id", "left_semi"), behind.join(gone, "id", "left_anti")
+    kept = materialize(first.join(gone, "id", "left_anti"), "ngram-prefix")
+    posts = kept.select("id", "n", F.explode("prefix").alias("token"))
+    df = materialize(posts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "ngram-df")
+    total = kept.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+    shared = counted_join(posts, df, "token", "df", total, F.xxhash64("id")).groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
     need = F.expr(f"(({percent} * n + 99) div 100) div 20 + 1")
     lasting = shared.withColumn("need", need).filter("size(shared) >= need")
     tiles = lasting.select("id", "n", F.explode(F.expr("slice(shared, 1, cast(size(shared) - need + 1 as int))")).alias("s")).select("id", "n", F.col("s.token").alias("token"))
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) * 1.0001)).cast("int")
+    band = band_of(F.col("n"), percent)
     tiles = tiles.select("id", "n", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("home")), F.struct((band + 1).alias("band"), F.lit(False).alias("home")))).alias("b"), "token")
-    tiles = materialize(tiles.select(F.xxhash64("b.band", "token").alias("tile"), "id", "n", "b.home"), "ngram-posts")
+    tiles = materialize(tiles.select(F.xxhash64("b.band", "token").alias("key"), "id", "n", "b.home"), "ngram-posts")
+    discard(kept, df, same)
     # of tiles with the same members one is enough; one member, or visitors only, make no pair
-    who = tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("id", "n", "home").cast("decimal(38,0)")).alias("who"), F.max("home").alias("any_home")).filter("k > 1 AND any_home")
-    tiles = materialize(tiles.join(who.groupBy("k", "who").agg(F.min("tile").alias("tile")).select("tile"), "tile", "left_semi"), "ngram-tiles")
-
-    # full sets of what is left
-    left = materialize(tiles.select("id").distinct(), "ngram-left")
+    who = tiles.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("id", "n", "home").cast("decimal(38,0)")).alias("who"), F.max("home").alias("any_home")).filter("k > 1 AND any_home")
+    who = materialize(who.groupBy("k", "who").agg(F.min("key").alias("key")), "ngram-who")
+    size = tiles.count()
+    distinct_tiles = materialize(counted_join(tiles, who.select("key", "k"), "key", "k", size, F.xxhash64("id")).drop("k"), "ngram-tiles")
+    discard(tiles, who)
+
+    # sets and signatures of what is left
+    left = materialize(distinct_tiles.select("id").distinct(), "ngram-left")
     texts = maybe_in(rows, F.xxhash64("id"), bitmap_of(left, F.xxhash64("id"))).join(left, "id", "left_semi")
-    sets = materialize(texts.select("id", "text").mapInArrow(_sets(width), "id long, n long, sig binary, wide binary, tokens binary"), "ngram-sets")
-    return sketch, followers, tiles, sets
-
-
-def _pairs_across(member: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """member(tile, id, n, home, comp) -> the pairs (a, b) that share a tile, differ in comp and pass the bounds."""
-    mixed = member.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c <> d").select("tile", F.expr(f"cast(1 + (k - 1) div {block} as int)").alias("parts"))
-    some = member.join(mixed, "tile").join(sets.select("id", "n", "sig"), ["id", "n"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    dealt = some.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("tile", "id", "n", "home", "comp", "sig", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
-    sorted_ = dealt.repartition("tile", "lo", "hi").sortWithinPartitions("tile", "lo", "hi")
-    return sorted_.mapInArrow(_across(percent), "a long, b long").distinct()
+    sets = materialize(texts.select("id", "text").mapInArrow(_sets(width, percent, seed), "id long, n long, sig binary, tokens binary"), "ngram-sets")
+    member = materialize(distinct_tiles.join(sets.select("id", "n", "sig"), ["id", "n"]), "ngram-members")
+    discard(left, distinct_tiles)
+    near = _compared(member, "sig", F.lit(1), tile_members, _led_near(percent - LOOSE), _near(percent))
+    discard(member)
+    cluster = materialize(components(near, "ngram"), "ngram-clusters")
+    discard(near)
+    return sketch, followers, several, cluster.select(F.col("node").alias("id"), F.col("component").alias("key")), sets
+
+
+def _links(cluster: DataFrame, sets: DataFrame, percent: int, cluster_bytes: int, every: bool = False) -> DataFrame:
+    member = materialize(cluster.join(sets.select("id", "n", "tokens"), "id"), "ngram-sets-of-clusters")
+    out = _compared(member, "tokens", F.greatest(8 * F.col("n"), F.lit(4096)), cluster_bytes, _led_linked(percent), _linked(percent, every), every)
+    discard(member)
+    return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, tile_members: int = TILE_MEMBERS, cluster_bytes: int = CLUSTER_BYTES) -> DataFrame:
     """One row a document: id, n_shingles and component_id, the smallest id reachable over links of Jaccard similarity >= percent / 100."""
-    sketch, followers, tiles, sets = _tiles(docs, id_col, text_col, width, percent)
-
-    # twice, everyone with one leader from another component
-    links, comp = None, None
-    for _ in range(2):
-        member = tiles.withColumn("comp", F.col("id")) if comp is None else tiles.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-        member = materialize(member.select("tile", "id", "n", "home", "comp"), "ngram-members")
-        lead = member.groupBy("tile").agg(F.min(F.struct("comp", "id")).alias("a"), F.max("comp").alias("z")).filter("a.comp <> z").select("tile", "a")
-        pairs = member.join(lead, "tile").filter("a.comp <> comp").groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).select("a.id", "b").withColumnRenamed("id", "a")
-        found = materialize(verified(pairs, sets, percent), "ngram-links")
-        links = found if links is None else links.unionByName(found)
-        comp = materialize(components(links, "ngram"), "ngram-comp").withColumnRenamed("node", "id")
-
-    # then across the components that still share a tile
-    member = tiles.join(comp, "id", "left").select("tile", "id", "n", "home", F.coalesce("component", "id").alias("comp"))
-    member = materialize(member, "ngram-members")
-    cross = _pairs_across(member, sets, percent, block)
-    more = materialize(verified(cross, sets, percent), "ngram-more").distinct()
-    every = links.unionByName(more).unionByName(followers.select(F.col("rep").alias("a"), F.col("id").alias("b")))
-    final = materialize(components(every, "ngram-all"), "ngram-final")
-    out = sketch.select("id", "n").join(final.withColumnRenamed("node", "id"), "id", "left")
+    sketch, followers, several, cluster, sets = _clusters(docs, id_col, text_col, width, percent, tile_members)
+    links = _links(cluster, sets, percent, cluster_bytes)
+    # an id of several texts ties what they link with; the copies of a set hang on its representative and come after
+    comp = materialize(components(links.unionByName(several.select(F.col("rep").alias("a"), F.col("id").alias("b"))), "ngram-all"), "ngram-comp")
+    of_rep = followers.groupBy("rep").agg(F.count(F.lit(1)).alias("k")).join(comp.withColumnRenamed("node", "rep"), "rep").select("rep", "component")
+    hang = salted_left_join(followers, of_rep, ["rep"], F.xxhash64("id")).select("id", F.coalesce("component", "rep").alias("component"))
+    final = materialize(comp.select(F.col("node").alias("id"), "component").unionByName(hang), "ngram-final")
+    out = sketch.select("id", "n").join(final, "id", "left")
+    discard(sets, links)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
-def near_duplicate_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def near_duplicate_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, tile_members: int = TILE_MEMBERS, cluster_bytes: int = CLUSTER_BYTES) -> tuple[DataFrame, DataFrame]:
     """(pairs, members). pairs(a, b), a < b: all representatives that link, in one component or not. members(id, rep): the representative of each id's set, one row a set.
 
     Ids stand for the same representative if their sets are equal; they link with all that it links
     with and with one another. An id with several texts is also paired by each of them. Quadratic in the size of a group of near copies, as the links are.
     """
-    sketch, followers, tiles, sets = _tiles(docs, id_col, text_col, width, percent)
-    pairs = _pairs_across(materialize(tiles.withColumn("comp", F.col("id")), "ngram-members"), sets, percent, block)
+    sketch, _, _, cluster, sets = _clusters(docs, id_col, text_col, width, percent, tile_members)
+    pairs = _links(cluster, sets, percent, cluster_bytes, every=True)
     real = sketch.filter("n > 0 AND id IS NOT NULL").select("id", "n", "k1", "k2")
     reps = materialize(real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")), "ngram-reps")
     members = salted_left_join(real, reps, ["n", "k1", "k2"], F.xxhash64("id")).select("id", "rep").distinct()
-    return materialize(verified(pairs, sets, percent).distinct(), "ngram-pairs"), members
+    return pairs, members
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

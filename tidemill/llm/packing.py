@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _powers, mix, slices, texts_of
+from .common import mix, slices, texts_of
 
 END_ID = 1
 CHUNK_BYTES = 512 << 10
@@ -53,6 +53,18 @@ def _classes() -> np.ndarray:
 
 _CLASS = _classes()
 _TERM = mix(np.arange(1, _LIMIT + 2, dtype=np.uint64))
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
+_pow: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse."""
+    if len(_pow[0]) < n:
+        for i, base in ((0, _BASE), (1, pow(_BASE, -1, 1 << 64))):
+            x = np.full(max(n, 1 << 16), base, np.uint64)
+            x[0] = 1
+            _pow[i] = np.multiply.accumulate(x)
+    return _pow[0][:n], _pow[1][:n]
 
 
 def pretoken_starts(chars: np.ndarray, kind: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -114,6 +126,8 @@ class Encoder:
         self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes of known pre-tokens in order, and their numbers
         self.begin, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
+        self.spelt, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)  # where the characters of each stand in letters
+        self.letters, self.written = np.zeros(1 << 16, np.uint16), 0
 
     def _learn(self, keys: np.ndarray, place: np.ndarray, pieces: list[str]) -> None:
         encode = self.pieces._core_bpe.encode_ordinary
@@ -121,13 +135,20 @@ class Encoder:
         k, sizes = len(self.keys), np.fromiter(map(len, found), np.int64, len(found))
         total = int(sizes.sum())
         while k + len(keys) > len(self.begin):
-            self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
+            self.begin, self.size, self.spelt, self.length = (np.resize(x, 2 * len(x)) for x in (self.begin, self.size, self.spelt, self.length))
         if self.used + total > len(self.pool):
             self.pool = np.resize(self.pool, 2 * (self.used + total))
         self.begin[k : k + len(keys)] = self.used + np.cumsum(sizes) - sizes
         self.size[k : k + len(keys)] = sizes
         self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.int32, total)
         self.used += total
+        chars = np.frombuffer("".join(pieces).encode("utf-16-le"), np.uint16)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        if self.written + len(chars) > len(self.letters):
+            self.letters = np.resize(self.letters, 2 * (self.written + len(chars)))
+        self.letters[self.written : self.written + len(chars)] = chars
+        self.spelt[k : k + len(keys)], self.length[k : k + len(keys)] = self.written + np.cumsum(lengths) - lengths, lengths
+        self.written += len(chars)
         self.slots = np.insert(self.slots, place, np.arange(k, k + len(keys)))
         self.keys = np.insert(self.keys, place, keys)
 
@@ -144,7 +165,7 @@ class Encoder:
             odd |= {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
         if odd:
             rest = iter(self.encode([t for i, t in enumerate(texts) if i not in odd]))
-            return [np.array(self.library.encode(t, add_special_tokens=False).ids, np.int32) if i in odd else next(rest) for i, t in enumerate(texts)]
+            return [self._by_library(t) if i in odd else next(rest) for i, t in enumerate(texts)]
         starts = pretoken_starts(chars, kind, at)
         ends = np.append(starts[1:], len(chars))
         up, down = _powers(len(chars) + 1)
@@ -161,11 +182,22 @@ class Encoder:
             self._learn(distinct[new], place[new], [whole[a:b] for a, b in cuts])
             place = np.searchsorted(self.keys, distinct)
         slot = self.slots[place][back]
+        # a pre-token whose characters are not those that its number was learned from (equal hashes) sends its text to the library
+        spans = np.where(self.length[slot] == ends - starts, self.spelt[slot] - starts, 0)
+        same = self.letters.take(np.repeat(spans, ends - starts) + np.arange(len(chars)), mode="clip") == chars
+        wrong = np.unique(np.searchsorted(at, np.flatnonzero(~same), "right") - 1) if not same.all() else np.zeros(0, np.int64)
+        wrong = np.union1d(wrong, np.searchsorted(at, starts[self.length[slot] != ends - starts], "right") - 1).tolist()
         size = self.size[slot]
         stop = np.cumsum(size)
         ids = self.pool[np.repeat(self.begin[slot] - stop + size, size) + np.arange(stop[-1])]
         cut = np.append(0, stop)[np.searchsorted(starts, at)]
-        return [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        out = [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        for i in wrong:
+            out[i] = self._by_library(texts[i])
+        return out
+
+    def _by_library(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
 
 
 @dataclass(frozen=True)

@@ -5,8 +5,9 @@ before and after it; two transition weights tie neighbours. Forward-backward mar
 weighted by line length, give the document's quality, which a logistic curve fitted on the
 training rows turns into the score.
 
-The field is fitted on a bounded sample: fit_rows labelled documents chosen by a hash of the id, of at
-most fit_lines lines each; a document's label counts for all its lines. Scoring reads whole texts.
+The field is fitted on a bounded sample: fit_rows labelled documents chosen by a hash of the id, fewer
+where these have more than fit_lines lines in all; a document of any length is as likely to be chosen, and its
+label counts for all its lines. Scoring reads whole texts.
 
 Cases: a null text is empty; an empty text is one empty line; very long texts are scored whole, line
 by line; null labels and null ids are not learned from; without both labels in the sample every score
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import in_sample, lowered, slices, span_hashes, utf8, words_of
 from .language_id import is_held_out
 
-FIT_ROWS, FIT_LINES = 4000, 200
+FIT_ROWS, FIT_LINES = 4000, 400_000
 ROUNDS, STEP, L2 = 120, 0.3, 1e-4
 REJECT_BELOW = 0.3
 CHUNK_BYTES = 1 << 20
@@ -192,10 +193,14 @@ def train(bins: np.ndarray, size: np.ndarray, first: np.ndarray, label: np.ndarr
 def fit_quality_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_lines: int = FIT_LINES) -> QualityModel:
     """docs(doc_id, text), labels(doc_id, quality). The sample is chosen among the labels first, so few texts are moved."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sampled = in_sample(F.col("doc_id"), fit_rows, known.count())
-    chosen = known.filter(sampled)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(sampled)
-    rows = rows.filter(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) < fit_lines).join(chosen, "doc_id")
+    total = known.count()
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    sampled = in_sample(F.col("doc_id"), fit_rows, total)
+    lines = (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
+    found = texts.filter(sampled).select("doc_id", lines.alias("lines")).join(known.filter(sampled), "doc_id").agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
+    if found > fit_lines:
+        sampled = in_sample(F.col("doc_id"), max(1, fit_rows * fit_lines // found), max(total, fit_rows))
+    rows = texts.filter(sampled).join(known.filter(sampled), "doc_id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK_BYTES):

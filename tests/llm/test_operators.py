@@ -59,7 +59,7 @@ def test_near_duplicates_equal_brute_force(spark, w, percent):
                 own[r.randrange(len(own))] = f"z{r.randint(0, 9)}"
             rows.append((len(rows), " ".join(own) + " shared tail of every text here" * (base % 3)))
     rows += [(900, None), (901, ""), (902, "One TWO"), (903, "one two")]
-    got = ngram_join.near_duplicates(docs(spark, rows), width=w, percent=percent, block=16).collect()
+    got = ngram_join.near_duplicates(docs(spark, rows), width=w, percent=percent, tile_members=16, cluster_bytes=1 << 14).collect()
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(rows, w, percent)
 
 
@@ -78,7 +78,7 @@ def test_near_duplicate_links_lose_no_link(spark):
             own[r.randrange(200)] = f"z{r.randint(0, 3)}"
             rows.append((len(rows), " ".join(own)))
     rows += [(200, rows[0][1].upper()), (201, None), (202, ""), (None, rows[0][1]), (0, rows[0][1])]
-    pairs, members = ngram_join.near_duplicate_links(docs(spark, rows), block=4)
+    pairs, members = ngram_join.near_duplicate_links(docs(spark, rows), tile_members=4, cluster_bytes=1 << 13)
     sets = {d: frozenset(shingle_set(t, 4)) for d, t in rows if d is not None and t}
     first = {s: min(d for d in sets if sets[d] == s) for s in sets.values()}
     reps = sorted(first.values())
@@ -331,3 +331,77 @@ def test_samples_are_not_empty_on_very_large_tables(spark):
     assert rows.filter(in_sample(F.col("id"), 5, 10)).count() == pytest.approx(1_000_000, rel=0.01)
     assert rows.filter(in_sample(F.col("id"), 5, 5)).count() == rows.filter(in_sample(F.col("id"), 5, 0)).count() == 2_000_000
     assert 5 < rows.filter(in_sample(F.col("id"), 20_000, 2_000_000_000)).count() < 50  # a share of 1 in 100,000
+
+
+def thue_morse(n, a, b):
+    """Two such words cancel out in any polynomial modulo a power of two."""
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+
+
+def test_words_that_collide_in_polynomial_hashes(spark):
+    x, y = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    rows = [(1, f"{x} one two three four {y}"), (2, f"{y} one two three four {x}"), (3, f"{x} {x}"), (4, f"{y} {y}")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs(spark, rows)).collect()}
+    assert got == brute_components(rows, 4, 85)
+    words = [x, y, x[:64], y[:64], x[:1024], y[:1024], "abcdefgh", "abcdefghi", "ab"]
+    e = packing.Encoder(packing.public_tokenizer())
+    for texts in ([f"{x[:1024]} {y[:1024]}", *words], [f"{y} {x}"], words[::-1]):
+        assert [a.tolist() for a in e.encode(texts)] == [e.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_numbers_are_no_letters(spark):
+    model = language_id.LanguageModel(["en"], np.zeros((1, 1 << language_id.BUCKET_BITS), np.float32), np.zeros(1))
+    assert model.score(["½ ² Ⅷ", "_ 12", "½a"])[0] == ["und", "und", "en"]
+
+
+def test_as_many_languages_as_rows(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "CELLS", 1 << 14)
+    texts = [(i, " ".join(random.Random(i % 400).choices("abcdefghijklmnopqrstuvwxyz", k=400))) for i in range(800)]
+    labelled = docs(spark, texts, {i: f"l{i % 400:03d}" for i, _ in texts}).withColumnRenamed("doc_id", "id")
+    model = language_id.fit_language_model(labelled)
+    assert len(model.languages) == 400 and model.log_prob.size <= 1 << 14 and np.allclose(np.exp(model.log_prob).sum(1), 1, atol=1e-3)
+
+
+def test_language_model_equals_brute_force(spark):
+    texts = [(1, "Aba", "x"), (2, "abc ab", "x"), (3, "ccc", "y"), (4, None, "y"), (5, "zz", None), (6, "", "y")]
+    frame = spark.createDataFrame(texts, "id long, text string, lang string")
+    model = language_id.fit_language_model(frame)
+    counts = {"x": np.full(1 << 16, language_id.ALPHA), "y": np.full(1 << 16, language_id.ALPHA)}
+    for _, t, lang in texts:
+        if t is not None and lang:
+            for keys in language_id.ngram_buckets([t])[0]:
+                for k in keys.tolist():
+                    counts[lang][k] += 1
+    assert model.languages == ["x", "y"] and np.allclose(np.exp(model.log_prior), [0.5, 0.5])
+    for k, lang in enumerate(model.languages):
+        assert np.allclose(model.log_prob[k], np.log(counts[lang] / counts[lang].sum()), atol=1e-5)
+    got, score = model.score(["abab", "cc"])
+    for t, best, s in zip(["abab", "cc"], got, score):
+        logs = []
+        orders, at = language_id.ngram_buckets([t])
+        for k in range(2):
+            logs.append(sum(float(model.log_prob[k][o].sum()) for o in orders) * min(1.0, language_id.EVIDENCE / (len(orders) * int(at[1]))) + model.log_prior[k])
+        p = np.exp(logs - np.max(logs))
+        assert best == model.languages[int(np.argmax(logs))] and abs(s - p.max() / p.sum()) < 1e-6
+
+
+def test_long_documents_are_learned_from(spark):
+    rows = [(i, "\n".join(("good line of some plain words." if i % 2 else "|| 99 || !! 12 ##") for _ in range(300))) for i in range(40)]
+    model = quality_crf.fit_quality_model(docs(spark, rows), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int"))
+    assert model.weights is not None and {r.predicted for r in quality_crf.score_quality(docs(spark, rows), model).filter("doc_id % 2 = 0").collect()} == {0}
+    few = quality_crf.fit_quality_model(docs(spark, rows), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int"), fit_lines=3000)
+    assert few.weights is not None
+
+
+def test_clashing_names_and_repeated_rows(spark):
+    from tidemill.llm.common import materialize, without
+
+    rows = [(1, "a b", 5, "x"), (2, "a b", 6, "y"), (2, "a b", 6, "y"), (2, "a b", 7, "z"), (3, None, 8, "u"), (3, "", 8, "u"), (None, "own", 9, "v")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _maybe int, _sha string").withColumns({"_key": F.lit(1), "_at": F.lit(2), "_salt": F.lit(3), "_map": F.lit(4), "_bucket": F.lit(5), "_keep": F.lit(6), "_size": F.lit(7), "_id": F.lit(8), "_row": F.lit(9), "_top": F.lit(10)})
+    got = exact_dedup.drop_duplicates(frame)
+    assert got.columns == frame.columns
+    kept = sorted(((r.doc_id or 0), (r.text or "")) for r in got.collect())
+    assert kept == [(0, "own"), (2, "a b"), (3, "")] and {r._map for r in got.collect()} == {4}
+    assert exact_dedup.mark_duplicates(frame).filter("kept").count() == 6
+    lost = materialize(spark.createDataFrame([(2,)], "doc_id long"), "t")
+    assert sorted((r.doc_id or 0) for r in without(frame, lost, "doc_id").collect()) == [0, 1, 3, 3]

@@ -34,3 +34,14 @@ def test_near_dedup_drops_rows_not_ids(spark):
     rows = [(1, base), (2, base + " x"), (2, clean), (None, base + " y"), (None, lone), (None, lone + " z"), (3, "short one"), (4, None)]
     got = cp.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
     assert len(got) == 5 and {(r.doc_id, r.text) for r in got} - {(None, lone), (None, lone + " z")} == {(1, base), (2, clean), (3, "short one"), (4, None)}
+
+
+def test_every_stage_takes_an_empty_table_and_nulls(spark):
+    columns = "doc_id long, text string, lang string, source string, n_chars int"
+    odd = [(1, None, None, None, None), (1, None, None, None, None), (None, "", "en", "s", 0), (2, "  ", "en", "s", 2), (3, "One plain line of words. " * 30, "en", "s", 9)]
+    for rows in ([], odd):
+        docs = spark.createDataFrame(rows, columns)
+        for name, stage in cp.STAGES:
+            out = stage(spark, docs, SF)
+            assert out.count() <= len(rows) if name != "pack" else (out.count() > 0) == bool(rows), name
+    assert "ids" in out.columns and sum(len(r.ids) for r in out.collect()) >= len(odd)

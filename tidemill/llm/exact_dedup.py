@@ -5,8 +5,9 @@ surviving keys become a bitmap of bounded size that is tested in the scan, so th
 never leave their task; an exact semi-join settles the rest.
 
 Cases: a null text counts as empty; a null id counts as smaller than any id (a group of null ids
-keeps a null id); rows repeated whole under one id are one document and share one fate; an empty
-table gives an empty result; other columns pass unchanged.
+keeps a null id); rows repeated whole under one id are one document: marks give them one fate, and
+drop_duplicates() leaves one of them; an empty table gives an empty result; other columns pass
+unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, materialize, maybe_in, salted_left_join
+from .common import bitmap_of, free_names, marked, materialize, maybe_in, salted_left_join
 
 PREFIX_CHARS = 64
 
@@ -35,28 +36,35 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with keep_id, group_size, kept and text_sha256; the row with the largest id of equal texts is kept."""
-    groups = materialize(duplicate_groups(docs, id_col, text_col), "dedup-groups").withColumnsRenamed({"keep_id": "_keep", "group_size": "_size", "text_sha256": "_sha"})
-    rows = docs.drop("keep_id", "group_size", "kept", "text_sha256").withColumn("_sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    joined = salted_left_join(rows, groups, ["_sha"], F.xxhash64(id_col))
-    keep = F.when(F.col("_size").isNull(), F.col(id_col)).otherwise(F.col("_keep"))
+    sha, keep_, size = free_names(docs, "_sha", "_keep", "_size")
+    groups = materialize(duplicate_groups(docs, id_col, text_col), "dedup-groups").withColumnsRenamed({"keep_id": keep_, "group_size": size, "text_sha256": sha})
+    rows = docs.drop("keep_id", "group_size", "kept", "text_sha256").withColumn(sha, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    joined = salted_left_join(rows, groups, [sha], F.xxhash64(id_col))
+    keep = F.when(F.col(size).isNull(), F.col(id_col)).otherwise(F.col(keep_))
     return joined.select(
         *[F.col(c) for c in docs.columns if c not in ("keep_id", "group_size", "kept", "text_sha256")],
-        keep.alias("keep_id"), F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
-        F.col(id_col).eqNullSafe(keep).alias("kept"), F.col("_sha").alias("text_sha256"),
+        keep.alias("keep_id"), F.coalesce(size, F.lit(1)).cast("long").alias("group_size"),
+        F.col(id_col).eqNullSafe(keep).alias("kept"), F.col(sha).alias("text_sha256"),
     )
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of docs. A row goes by its id (which may be null) and its text, so other texts of the id stay."""
-    marked = mark_duplicates(docs.select(id_col, text_col), id_col, text_col)
-    lost = marked.filter(~F.col("kept")).select(F.coalesce(id_col, F.lit(-1)).alias("_id"), F.col(id_col).isNull().alias("_null"), F.col("text_sha256").alias("_text")).distinct()
-    rows = docs.withColumns({"_id": F.coalesce(id_col, F.lit(-1)), "_null": F.col(id_col).isNull(), "_text": F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)})
-    return rows.join(materialize(lost, "dedup-lost"), ["_id", "_null", "_text"], "left_anti").select(docs.columns)
-
-
-def anti_by_id(docs: DataFrame, lost: DataFrame, id_col: str) -> DataFrame:
-    """docs without the ids in lost."""
-    return docs.join(lost, id_col, "left_anti")
+    """One row of each text, with the columns of docs: that with the largest id, and of rows repeated under it the least by its other columns.
+
+    Rows whose length and prefix are their own stay in their task. Of the others only those of texts
+    that do occur twice are moved.
+    """
+    key, sha, maybe, keep, size, top, row = free_names(docs, "_key", "_sha", "_maybe", "_keep", "_size", "_top", "_row")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    groups = materialize(duplicate_groups(docs, id_col, text_col), "dedup-groups").withColumnsRenamed({"keep_id": keep, "group_size": size, "text_sha256": sha})
+    looked = marked(docs.withColumn(sha, F.sha2(text, 256)), F.xxhash64(sha), bitmap_of(groups, F.xxhash64(sha)), maybe)
+    stay, close = looked.filter(~F.col(maybe)), looked.filter(F.col(maybe))
+    close = salted_left_join(close, groups, [sha], F.xxhash64(id_col)).filter(F.col(size).isNull() | F.col(id_col).eqNullSafe(F.col(keep)))
+    # one of the rows that repeat under the largest id
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    one = close.withColumns({row: F.xxhash64(F.to_json(F.struct(*rest))) if rest else F.lit(0), key: F.coalesce(F.col(id_col).cast("string"), F.lit("null"))})
+    one = one.groupBy(sha, key).agg(F.min_by(F.struct(*docs.columns), row).alias(top)).select(f"{top}.*")
+    return stay.select(docs.columns).unionByName(one.select(docs.columns))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SALTS = 16
 HOT_KEYS = 2048  # the most rows that counted_join() broadcasts
 BITMAP_BITS = 1 << 23  # 256 rows of 4 KiB: what a bounded bitmap broadcasts never exceeds 1 MiB
+WIDE_BITS = 1 << 26  # 2048 rows, 8 MiB
 
 
 # ---------------------------------------------------------------- shared folder
@@ -58,9 +59,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 
 def discard(*written: DataFrame) -> None:
-    """Deletes tables of materialize() that nothing reads any more; the rest go when the session ends."""
+    """Deletes tables of materialize() that nothing reads any more; the rest go when the session ends.
+
+    Spark deletes shuffle files of finished jobs once the driver's collector has found them unused, so it is run here.
+    """
     for df in written:
         _remove(df.sparkSession, df.written_at)
+    if written:
+        written[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
@@ -100,10 +106,13 @@ def counted_join(left: DataFrame, groups: DataFrame, key: str, count: str, total
     return dealt.join(spread, [key, salt]).drop(salt)
 
 
+_AS_LONGS = "transform(sequence(0, 511), i -> cast(conv(hex(substring(map, i * 8 + 1, 8)), 16, -10) as bigint))"
+
+
 def bitmap_of(keys: DataFrame, h: Column, bits: int = BITMAP_BITS) -> DataFrame:
     """A bitmap of hashed keys as at most bits/32768 rows of 4 KiB, built by partial aggregation."""
     at = F.pmod(h, F.lit(bits)) + 1
-    return keys.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map"))
+    return keys.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map")).select("bucket", F.expr(_AS_LONGS).alias("map"))
 
 
 def marked(df: DataFrame, h: Column, bitmap: DataFrame, name: str, bits: int = BITMAP_BITS) -> DataFrame:
@@ -113,8 +122,9 @@ def marked(df: DataFrame, h: Column, bitmap: DataFrame, name: str, bits: int = B
     """
     at, bucket, map_ = free_names(df, "_at", "_bucket", "_map")
     both = df.withColumn(at, F.pmod(h, F.lit(bits))).join(F.broadcast(bitmap.withColumnsRenamed({"bucket": bucket, "map": map_})), F.expr(f"1 + {at} div 32768") == F.col(bucket), "left")
-    byte = F.expr(f"cast(conv(hex(substring({map_}, cast(({at} % 32768) div 8 as int) + 1, 1)), 16, 10) as bigint)")
-    return both.withColumn(name, F.coalesce(F.getbit(byte, F.expr(f"cast({at} % 8 as int)")) == 1, F.lit(False))).drop(at, bucket, map_)
+    place = f"({at} % 32768)"
+    bit = F.expr(f"getbit({map_}[cast({place} div 64 as int)], cast((7 - {place} div 8 % 8) * 8 + {place} % 8 as int))")
+    return both.withColumn(name, F.coalesce(bit == 1, F.lit(False))).drop(at, bucket, map_)
 
 
 def maybe_in(df: DataFrame, h: Column, bitmap: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
@@ -126,10 +136,10 @@ def maybe_in(df: DataFrame, h: Column, bitmap: DataFrame, bits: int = BITMAP_BIT
     return marked(df, h, bitmap, name, bits).filter(F.col(name)).drop(name)
 
 
-def without(df: DataFrame, lost: DataFrame, key: str) -> DataFrame:
+def without(df: DataFrame, lost: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
     """df without the rows whose key is in lost (a written table of keys). Rows that the bitmap clears stay in their task; the others meet lost in an exact join. A null key stays."""
     (name,) = free_names(df, "_maybe")
-    rows = marked(df, F.xxhash64(key), bitmap_of(lost, F.xxhash64(key)), name)
+    rows = marked(df, F.xxhash64(key), bitmap_of(lost, F.xxhash64(key), bits), name, bits)
     stay, maybe = rows.filter(~F.col(name)).drop(name), rows.filter(F.col(name)).drop(name)
     return stay.unionByName(maybe.join(lost.select(key), key, "left_anti"))
 

@@ -12,7 +12,7 @@
    bounds the symmetric difference from below and so the overlap from above. What a tile gives is
    only a spanning forest of the pairs that pass, so never more rows than it has members.
 4. The components of those forests are clusters: sets that link are in one cluster. The shingles
-   of each set go once to its cluster, where pairs that pass the bound are settled by intersecting the
+   of each set are made again and go once to its cluster, where pairs that pass the bound are settled by intersecting the
    sorted arrays. Here too a spanning forest of the links is given: pairs that are already in one
    component by other links are not compared.
 5. Tiles and clusters of more than one block first compare each member with one leader. Blocks then pair
@@ -40,10 +40,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, components, counted_join, discard, lowered, materialize, maybe_in, mix, salted_left_join, slices, sorted_unique, span_hashes, utf8, words_of
+from .common import WIDE_BITS, bitmap_of, components, counted_join, discard, lowered, materialize, maybe_in, mix, salted_left_join, slices, sorted_unique, span_hashes, utf8, without, words_of
 
 CHUNK_BYTES = 512 << 10
-SIG_BITS = (1024, 16384)  # of a signature: two a shingle, within these bounds
+SIG_BITS = (512, 4096)  # of a signature: one or two a shingle, within these bounds
 TILE_MEMBERS = 2048  # members of a tile that one block compares
 CLUSTER_BYTES = 16 << 20  # of shingles that one block of a cluster holds
 LOOSE = 20  # a leader takes sets into its candidate group at a threshold lower by so many percent
@@ -91,7 +91,7 @@ def band_step(percent: int) -> float:
 
 def signature_bits(n: float) -> int:
     """Bits of a signature for sets of up to n: a power of two, so that a longer signature folds into a shorter one."""
-    return min(max(SIG_BITS[0], 1 << int(np.ceil(np.log2(max(2 * n, 2))))), SIG_BITS[1])
+    return min(max(SIG_BITS[0], 1 << int(np.ceil(np.log2(max(n, 2))))), SIG_BITS[1])
 
 
 def signature(tokens: np.ndarray, bits: int) -> np.ndarray:
@@ -118,15 +118,24 @@ def _sketch(width: int, percent: int, seed: int):
     return sketch
 
 
-def _sets(width: int, percent: int, seed: int):
+def _signatures(width: int, percent: int, seed: int):
     def bits(n: int) -> int:  # enough for the wider of the two bands that the set is in
         step = band_step(percent)
         return signature_bits(np.exp((np.floor(np.log(max(n, 1)) / step) + 2) * step))
 
+    def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", CHUNK_BYTES):
+            got = shingle_sets(*utf8(batch.column("text")), width, seed)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in got], pa.int64()), pa.array([signature(s, bits(len(s))).tobytes() for s in got], pa.binary())], names=["id", "n", "sig"])
+
+    return signatures
+
+
+def _sets(width: int, seed: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK_BYTES):
             got = shingle_sets(*utf8(batch.column("text")), width, seed)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in got], pa.int64()), pa.array([signature(s, bits(len(s))).tobytes() for s in got], pa.binary()), pa.array([s.tobytes() for s in got], pa.binary())], names=["id", "n", "sig", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in got], pa.int64()), pa.array([s.tobytes() for s in got], pa.binary())], names=["id", "n", "tokens"])
 
     return sets
 
@@ -275,23 +284,29 @@ def _led_linked(percent: int):
     return led
 
 
-def _compared(member: DataFrame, load: str, weight: Column, limit: int, leader_check, block_check, every: bool = False) -> DataFrame:
-    """member(key, id, n, <load>[, home]) -> the pairs (a, b) that block_check gives, written, with those of leader_check.
+def _compared(member: DataFrame, loads: DataFrame, load: str, weight: Column, limit: int, leader_check, block_check, every: bool = False) -> DataFrame:
+    """member(key, id, n[, home]), loads(id, n, <load>) -> the pairs (a, b) that block_check gives, written, with those of leader_check.
 
     A key whose weights add up to more than `limit` takes several blocks. Rows of such keys are first
-    compared with one leader; the blocks then leave out pairs within the leader's group.
+    compared with one leader; the blocks then leave out pairs within the leader's group. The loads
+    travel once, to their blocks, and are not written with the members.
     """
-    member = member.withColumn("weight", weight)
+    own = ["key", "id", "n", "weight", *[c for c in ("home",) if c in member.columns]]
+    member = member.withColumn("weight", weight).select(own)
     sizes = materialize(member.groupBy("key").agg(F.sum("weight").alias("total"), F.count(F.lit(1)).alias("k")).filter(F.col("total") > limit), "ngram-large")
-    lead, led = None, None
+    used, led = [sizes], None
     if not every and not sizes.isEmpty():
-        some = salted_left_join(member, sizes, ["key"], F.xxhash64("id")).filter("k IS NOT NULL")
-        lead = materialize(some.groupBy("key").agg(F.min_by(F.struct("id", F.col("n"), F.col(load)), F.xxhash64("id", "key")).alias("l")).select("key", F.col("l.id").alias("a"), F.col("l.n").alias("na"), F.col(f"l.{load}").alias("sa")), "ngram-leaders")
-        beside = salted_left_join(member.select("key", "id", "n", load), lead, ["key"], F.xxhash64("id")).filter("a <> id")
+        some = salted_left_join(member, sizes.select("key", "k"), ["key"], F.xxhash64("id")).filter("k IS NOT NULL")
+        one = some.groupBy("key").agg(F.min_by(F.struct("id", "n"), F.xxhash64("id", "key")).alias("l")).select("key", "l.id", "l.n")
+        lead = materialize(one.join(loads.select("id", "n", load), ["id", "n"]).groupBy("key").agg(F.first("id").alias("a"), F.first("n").alias("na"), F.first(load).alias("sa")), "ngram-leaders")
+        beside = salted_left_join(member.select("key", "id", "n"), lead, ["key"], F.xxhash64("id")).filter("a <> id").join(loads.select("id", "n", load), ["id", "n"])
         led = materialize(beside.select("a", "id", "na", "n", "sa", load).mapInArrow(leader_check, "a long, b long"), "ngram-led")
         group = materialize(led.select(F.col("a"), F.col("b").alias("id")).distinct(), "ngram-group")
         keyed = salted_left_join(member, lead.select("key", "a"), ["key"], F.xxhash64("id"))
-        member = keyed.join(group.withColumn("in", F.lit(True)), ["a", "id"], "left").withColumn("main", F.coalesce("in", F.col("id") == F.col("a"), F.lit(False))).withColumn("comp", F.when(F.col("main"), F.col("a")).otherwise(F.col("id"))).drop("a", "in")
+        main = F.coalesce("in", F.col("id") == F.col("a"), F.lit(False))
+        split = keyed.join(group.withColumn("in", F.lit(True)), ["a", "id"], "left").select(*own, main.alias("main"), F.when(main, F.col("a")).otherwise(F.col("id")).alias("comp"))
+        member = materialize(split, "ngram-split")
+        used += [lead, led, group, member]
     else:
         member = member.withColumns({"main": F.lit(False), "comp": F.col("id")})
     parts = lambda w: F.ceil(F.coalesce(F.sum(w), F.lit(0)) / limit).cast("int")
@@ -302,11 +317,12 @@ def _compared(member: DataFrame, load: str, weight: Column, limit: int, leader_c
     some = some.withColumn("part", F.when(F.col("main"), spot(F.col("gp"))).otherwise(F.col("gp") + spot(F.col("rp"))))
     # the parts of the leader's group come first and do not meet one another
     dealt = some.withColumn("other", F.explode(F.sequence(F.when(F.col("main"), F.col("gp")).otherwise(0), F.col("gp") + F.col("rp") - 1)))
-    dealt = dealt.select("key", "id", "n", "comp", *[c for c in ("home", load) if c in dealt.columns], "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
-    sorted_ = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    dealt = dealt.select(*[c for c in own if c != "weight"], "comp", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+    loaded = dealt.join(loads.select("id", "n", load), ["id", "n"])
+    sorted_ = loaded.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     out = sorted_.mapInArrow(block_check, "a long, b long")
     out = materialize((out if led is None else out.unionByName(led)).filter("a <> b").distinct(), "ngram-pairs")
-    discard(sizes, per, *([lead, led, group] if led is not None else []))
+    discard(per, *used)
     return out
 
 
@@ -324,47 +340,48 @@ def _clusters(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
     behind = materialize(behind, "ngram-behind")
 
     # shared prefix shingles; followers are left out, but an id with several texts keeps all of them
-    first = real.select("id", "n", "prefix")
     maybe = maybe_in(sketch.select("id", "n", "k1", "k2").distinct(), F.xxhash64("id"), bitmap_of(behind, F.xxhash64("id")))
     gone = maybe.join(behind.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1").select("id")
     gone = materialize(gone, "ngram-gone")
     followers, several = behind.join(gone, "id", "left_semi"), behind.join(gone, "id", "left_anti")
-    kept = materialize(first.join(gone, "id", "left_anti"), "ngram-prefix")
-    posts = kept.select("id", "n", F.explode("prefix").alias("token"))
+    posts = without(real.select("id", "n", "prefix"), gone, "id", WIDE_BITS).select("id", "n", F.explode("prefix").alias("token"))
     df = materialize(posts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "ngram-df")
-    total = kept.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
-    shared = counted_join(posts, df, "token", "df", total, F.xxhash64("id")).groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    total = df.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    # most shingles occur once: the bitmap keeps their postings out of the shuffle
+    again = maybe_in(posts, F.col("token"), bitmap_of(df, F.col("token"), WIDE_BITS), WIDE_BITS)
+    shared = counted_join(again, df, "token", "df", total, F.xxhash64("id")).groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
     need = F.expr(f"(({percent} * n + 99) div 100) div 20 + 1")
     lasting = shared.withColumn("need", need).filter("size(shared) >= need")
     tiles = lasting.select("id", "n", F.explode(F.expr("slice(shared, 1, cast(size(shared) - need + 1 as int))")).alias("s")).select("id", "n", F.col("s.token").alias("token"))
     band = band_of(F.col("n"), percent)
     tiles = tiles.select("id", "n", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("home")), F.struct((band + 1).alias("band"), F.lit(False).alias("home")))).alias("b"), "token")
     tiles = materialize(tiles.select(F.xxhash64("b.band", "token").alias("key"), "id", "n", "b.home"), "ngram-posts")
-    discard(kept, df, same)
+    discard(df, same)
     # of tiles with the same members one is enough; one member, or visitors only, make no pair
     who = tiles.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("id", "n", "home").cast("decimal(38,0)")).alias("who"), F.max("home").alias("any_home")).filter("k > 1 AND any_home")
     who = materialize(who.groupBy("k", "who").agg(F.min("key").alias("key")), "ngram-who")
-    size = tiles.count()
-    distinct_tiles = materialize(counted_join(tiles, who.select("key", "k"), "key", "k", size, F.xxhash64("id")).drop("k"), "ngram-tiles")
+    size = who.agg(F.coalesce(F.sum("k"), F.lit(0))).first()[0]
+    own = maybe_in(tiles, F.col("key"), bitmap_of(who, F.col("key"), WIDE_BITS), WIDE_BITS)
+    member = materialize(counted_join(own, who.select("key", "k"), "key", "k", size, F.xxhash64("id")).drop("k"), "ngram-members")
     discard(tiles, who)
 
-    # sets and signatures of what is left
-    left = materialize(distinct_tiles.select("id").distinct(), "ngram-left")
-    texts = maybe_in(rows, F.xxhash64("id"), bitmap_of(left, F.xxhash64("id"))).join(left, "id", "left_semi")
-    sets = materialize(texts.select("id", "text").mapInArrow(_sets(width, percent, seed), "id long, n long, sig binary, tokens binary"), "ngram-sets")
-    member = materialize(distinct_tiles.join(sets.select("id", "n", "sig"), ["id", "n"]), "ngram-members")
-    discard(left, distinct_tiles)
-    near = _compared(member, "sig", F.lit(1), tile_members, _led_near(percent - LOOSE), _near(percent))
-    discard(member)
-    cluster = materialize(components(near, "ngram"), "ngram-clusters")
+    # signatures of what is left, then the sets of what its tiles have put together
+    def texts_in(ids: DataFrame) -> DataFrame:
+        return maybe_in(rows, F.xxhash64("id"), bitmap_of(ids, F.xxhash64("id"), WIDE_BITS), WIDE_BITS)
+
+    sigs = materialize(texts_in(member).mapInArrow(_signatures(width, percent, seed), "id long, n long, sig binary"), "ngram-signatures")
+    near = _compared(member, sigs, "sig", F.lit(1), tile_members, _led_near(percent - LOOSE), _near(percent))
+    discard(member, sigs)
+    cluster = materialize(components(near, "ngram").select(F.col("node").alias("id"), F.col("component").alias("key")), "ngram-clusters")
     discard(near)
-    return sketch, followers, several, cluster.select(F.col("node").alias("id"), F.col("component").alias("key")), sets
+    sets = materialize(texts_in(cluster).mapInArrow(_sets(width, seed), "id long, n long, tokens binary"), "ngram-sets")
+    return sketch, followers, several, cluster, sets
 
 
 def _links(cluster: DataFrame, sets: DataFrame, percent: int, cluster_bytes: int, every: bool = False) -> DataFrame:
-    member = materialize(cluster.join(sets.select("id", "n", "tokens"), "id"), "ngram-sets-of-clusters")
-    out = _compared(member, "tokens", F.greatest(8 * F.col("n"), F.lit(4096)), cluster_bytes, _led_linked(percent), _linked(percent, every), every)
-    discard(member)
+    member = cluster.join(sets.select("id", "n"), "id").filter("n > 0")
+    out = _compared(member, sets, "tokens", F.greatest(8 * F.col("n"), F.lit(4096)), cluster_bytes, _led_linked(percent), _linked(percent, every), every)
+    discard(sets, cluster)
     return out
 
 
@@ -374,11 +391,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _links(cluster, sets, percent, cluster_bytes)
     # an id of several texts ties what they link with; the copies of a set hang on its representative and come after
     comp = materialize(components(links.unionByName(several.select(F.col("rep").alias("a"), F.col("id").alias("b"))), "ngram-all"), "ngram-comp")
-    of_rep = followers.groupBy("rep").agg(F.count(F.lit(1)).alias("k")).join(comp.withColumnRenamed("node", "rep"), "rep").select("rep", "component")
+    of_rep = followers.select("rep").distinct().join(comp.withColumnRenamed("node", "rep"), "rep").select("rep", "component")
     hang = salted_left_join(followers, of_rep, ["rep"], F.xxhash64("id")).select("id", F.coalesce("component", "rep").alias("component"))
     final = materialize(comp.select(F.col("node").alias("id"), "component").unionByName(hang), "ngram-final")
+    discard(links, comp)
     out = sketch.select("id", "n").join(final, "id", "left")
-    discard(sets, links)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 

@@ -141,3 +141,58 @@ def test_stream_matches_batch(spark, tmp_path):
     assert got["activity_count"] == str(want.activity_count) == "9" and got["location_changes"] == str(want.location_changes) == "8"
     assert got["recent_categories_viewed"] == ",".join(want.recent_categories_viewed) == "c2,c3,c4,c5,c6"
     assert {r.error_reason for r in batch_bad.collect()} == {"malformed", "missing_fields"}
+
+
+def test_json_is_read_once(spark):
+    src = spark.createDataFrame([("{}", "events.raw", 0, 1)], "value string, topic string, partition int, offset long")
+    good, _ = stream.split_events(stream.parse_events(src))
+    plan = stream.tumbling(stream.deduplicate(good), 30)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_faults_of_messages(spark):
+    base = {"_event_type": "feed.v1.RecommendationFeedback", "user_id": "u", "event_type": "view", "timestamp": "1706572800000"}
+    cases = [
+        (base, None), (base | {"user_id": ""}, "null_values"), (base | {"user_id": None, "userId": "w"}, None), (base | {"user_id": None}, "missing_fields"), (base | {"latitude": "abc"}, "invalid_latitude"), (base | {"latitude": 90.5}, "invalid_latitude"),
+        (base | {"longitude": "-180"}, None), (base | {"longitude": 181}, "invalid_longitude"), (base | {"timestamp": -5}, "invalid_timestamp"), (base | {"timestamp": "2024-01-30T00:00:00Z"}, None), (base | {"timestamp": "soon"}, "invalid_timestamp"),
+    ]
+    rows = [(json.dumps(m), "events.raw", 0, i) for i, (m, _) in enumerate(cases)]
+    rows += [(t, "events.raw", 0, len(cases) + i) for i, t in enumerate(["{}", " ", "[1]", "3", "{bad", None])]
+    got = {r.offset: r.error_type for r in stream.parse_events(spark.createDataFrame(rows, "value string, topic string, partition int, offset long")).collect()}
+    assert [got[i] for i in range(len(rows))] == [w for _, w in cases] + ["empty_event", "empty_event", "type_error", "type_error", "malformed", "null value"]
+
+
+@pytest.mark.parametrize("inner, outer, name, weight", [("View", "a.B", "view", 1.0), ("unknown", "feed.v1.RecommendationFeedback", "recommendationfeedback", 0.5), ("", "feed.v1.Like", "like", 2.0), ("feedback_click", "x", "feedback_click", 2.0), (None, None, "unknown", 0.5)])
+def test_event_names_and_weights(spark, inner, outer, name, weight):
+    df = spark.createDataFrame([(inner, outer)], "event_type string, _event_type string")
+    r = df.select(stream.event_name(df).alias("n"), stream.event_weight(stream.event_name(df)).alias("w")).first()
+    assert (r.n, r.w) == (name, weight)
+
+
+def test_every_item_of_a_large_pool_can_be_drawn(spark):
+    pos = spark.range(3000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("user_id"), F.col("id").cast("string").alias("experience_id"))
+    got = training.negatives(pos, spark.range(200_000).select(F.col("id").cast("string").alias("experience_id")), 40)
+    n, distinct, high = got.agg(F.count(F.lit(1)), F.count_distinct("experience_id"), F.max(F.col("experience_id").cast("int"))).first()
+    assert n == 120_000 and distinct > 80_000 and high > 199_900  # of 120,000 draws with replacement 90,000 would differ
+
+
+def test_sessions_count_from_zero_and_moves(spark):
+    t = datetime(2024, 1, 30, 8)
+    rows = feedback(spark, [event(t, n="1"), event(t + timedelta(seconds=60), n="2"), event(t + timedelta(hours=3), n="3")]).withColumn("city", F.when(F.col("event_id") != "1", "b").otherwise("a"))
+    got = {r.session_id: (r.session_location_changes, r.event_timestamp) for r in features.session_features(rows, D, city="city").collect()}
+    assert got == {"u_0": (1, datetime(2024, 1, 30)), "u_1": (0, datetime(2024, 1, 30))}
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        df = spark.createDataFrame([("1706572800000",), ("2024-01-30T02:00:00+02:00",), ("2024-01-30 00:00:00",)], "t string").select(x.parse_time(F.col("t")).alias("t"))
+        assert {r.t for r in df.collect()} == {datetime(2024, 1, 30)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_unchanged_content_is_not_written_for_its_time(spark):
+    rows = lambda t: stores.as_entries(spark.createDataFrame([("u", 1, t)], "user_id string, n int, updated_at string"), "user_id", "p")
+    assert stores.changed(rows("1"), rows("2")).count() == 0

@@ -82,7 +82,7 @@ def distance_bucket(km: Column) -> Column:
 def position_features(position: Column) -> dict[str, Column]:
     """position counts from 0; the bounds are inclusive."""
     flag = lambda n: F.coalesce(position <= n, F.lit(False)).cast("int")
-    return {"position_normalized": position / F.lit(50.0), "is_top_3": flag(3), "is_top_10": flag(10), "is_top_20": flag(20), "is_first_page": flag(10)}
+    return {"position_normalized": position / F.lit(50.0), "is_top_3": flag(3), "is_top_10": flag(10), "is_top_20": flag(20), "is_first_page": F.coalesce(position <= 10, F.lit(False)), "position_bucket": F.when(position <= 3, "top_3").when(position <= 10, "top_10").when(position <= 20, "top_20").otherwise("below_20")}
 
 
 def time_bucket(hour: Column) -> Column:
@@ -99,10 +99,14 @@ def epoch_ms(ts: Column) -> Column:
 
 
 def parse_time(text: Column) -> Column:
-    """Milliseconds, seconds (under 1e12), numeric strings or ISO text as a timestamp; null if it is neither."""
+    """Milliseconds, seconds (under 1e12), numeric strings or ISO text as a timestamp without zone, in UTC, whatever the session's zone; null if it is neither."""
     number = text.cast("string").try_cast("double")
     ms = F.when(F.abs(number) >= 1e12, number).otherwise(number * 1000).cast("long")
-    return F.coalesce(F.timestamp_millis(ms), F.try_to_timestamp(F.trim(text.cast("string"))))
+    began = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    said = F.trim(text.cast("string"))
+    # text with an offset names an instant: its seconds since 1970 do not depend on the session
+    zoned = F.when(said.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), F.timestamp_add("MICROSECOND", F.unix_micros(F.try_to_timestamp(said)), began))
+    return F.coalesce(F.timestamp_add("MILLISECOND", ms, began), zoned, said.try_cast("timestamp_ntz"))
 
 
 def names_of(items: Column, cap: int | None = None, part: str = "name") -> Column:

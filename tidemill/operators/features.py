@@ -89,13 +89,21 @@ def experience_engagement(events: DataFrame, d: date, smoothed: bool = False, fo
     return out.withColumns({"exp_total_views_7d": c("views"), "exp_bookmark_rate_7d": F.lit(0.0), "exp_share_rate_7d": F.lit(0.0), "exp_popularity_tier": score_tier(c("views"), c("clicks"))})
 
 
-def popularity_rank(df: DataFrame, key: str = "experience_id", by: str = "exp_impressions_7d") -> DataFrame:
-    """Tier by rank over all rows (by desc, then key), without a single-task sort: rows are counted by value,
-    the running count over values is small, and only rows of equal value are numbered together."""
-    per = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    before = per.select(by, F.coalesce(F.sum("_n").over(Window.orderBy(F.col(by).desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    ranked = df.join(before, by).withColumn("_rank", F.col("_before") + F.row_number().over(Window.partitionBy(by).orderBy(key)))
-    return ranked.withColumn("exp_popularity_tier", rank_tier(F.col("_rank"), F.col("_total"))).drop("_rank", "_before", "_total")
+def popularity_rank(df: DataFrame, key: str = "experience_id", by: str = "exp_impressions_7d", slots: int = 64) -> DataFrame:
+    """Tier by rank over all rows (by desc, then key), without a single-task sort: rows are counted by value and key range,
+    the running count over these is small, and only rows of one value and range are numbered together."""
+    cuts = df.agg(F.percentile_approx(key_number(F.col(key)), [i / slots for i in range(1, slots)]).alias("_cuts"))
+    slot = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<bigint>")), lambda c: c < key_number(F.col(key))))
+    spread = df.join(F.broadcast(cuts), F.lit(True)).withColumn("_slot", slot).drop("_cuts")
+    per = spread.groupBy(by, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    before = per.select(by, "_slot", F.coalesce(F.sum("_n").over(Window.orderBy(F.col(by).desc(), "_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    ranked = spread.join(before, [by, "_slot"]).withColumn("_rank", F.col("_before") + F.row_number().over(Window.partitionBy(by, "_slot").orderBy(key)))
+    return ranked.withColumn("exp_popularity_tier", rank_tier(F.col("_rank"), F.col("_total"))).drop("_rank", "_before", "_total", "_slot")
+
+
+def key_number(key: Column) -> Column:
+    """The first seven bytes of a string as a number in the same order."""
+    return F.conv(F.rpad(F.hex(F.substring(key.cast("string").cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
 
 
 def latest_row(df: DataFrame, key: str, ts: str) -> DataFrame:
@@ -140,16 +148,17 @@ def experience_features(events: DataFrame, d: date, catalog: DataFrame | None =
 
 
 def session_features(events: DataFrame, d: date, settings: FeatureSettings = DEFAULTS, city: str | None = None) -> DataFrame:
-    """Sessions of day D: a gap of more than session_gap_s whole seconds opens the next one of the user."""
+    """Sessions of day D, numbered from 0 for each user: a gap of more than session_gap_s whole seconds opens the next one."""
     w = Window.partitionBy("user_id").orderBy(TIME)
+    one = Window.partitionBy("user_id").orderBy(TIME, *[c for c in ("event_id",) if c in events.columns])
     second = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(TIME))
     day = events.filter(within(d, 0) & F.col("user_id").isNotNull()).withColumn("_city", F.col(city) if city else F.lit(None).cast("string"))
-    day = day.withColumns({"_s": second, "_previous": F.lag(second).over(w), "_was": F.lag("_city").over(w)})
-    opens = F.col("_previous").isNull() | (F.col("_s") - F.col("_previous") > settings.session_gap_s)
+    day = day.withColumns({"_s": second, "_previous": F.lag(second).over(w), "_was": F.lag("_city").over(one)})
+    opens = F.coalesce(F.col("_s") - F.col("_previous") > settings.session_gap_s, F.lit(False))
     day = day.withColumn("_n", F.sum(opens.cast("int")).over(w)).withColumn("_moved", (F.col("_was").isNotNull() & (F.col("_was") != F.col("_city"))).cast("int"))
     return day.groupBy("user_id", F.concat("user_id", F.lit("_"), F.col("_n").cast("string")).alias("session_id")).agg(
         (F.max("_s") - F.min("_s")).alias("session_duration_seconds"), F.count(F.lit(1)).alias("session_event_count"), F.coalesce(F.sum("_moved"), F.lit(0)).alias("session_location_changes"),
-        F.count_distinct("experience_id").alias("session_unique_experiences"), F.max(TIME).alias("event_timestamp"),
+        F.count_distinct("experience_id").alias("session_unique_experiences"), F.lit(d).cast("timestamp_ntz").alias("event_timestamp"),
     )
 
 

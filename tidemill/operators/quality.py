@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Limits of the checks.
 OLDEST = "2020-01-01 00:00:00"
 MAX_NULL_RATE, MAX_SKEW, MAX_AGE_HOURS = 0.05, 100.0, 24.0
 
@@ -141,10 +142,14 @@ REQUIRED_FIELDS = {
 DEFAULT_FIELDS = ["user_id", "timestamp"]
 
 
-def event_error(df: DataFrame, topic: Column) -> Column:
-    """The first fault of a parsed event, or null: missing fields, empty strings, coordinates out of range, bad times."""
+def event_error(df: DataFrame, topic: Column, instead: dict[str, Column] | None = None) -> Column:
+    """The first fault of a parsed event, or null: missing fields, empty strings, coordinates that are no numbers in range, bad times.
+
+    A time is a positive number, a numeric string or ISO text. Every topic needs a time, so a missing one is a missing field
+    (but for location streams and unknown topics all need an event type too).
+    """
     def any_of(fields: list[str], bad) -> Column:
-        return reduce(lambda a, b: a | b, [bad(F.col(c) if c in df.columns else F.lit(None).cast("string")) for c in fields])
+        return reduce(lambda a, b: a | b, [bad((instead or {}).get(c, F.col(c) if c in df.columns else F.lit(None).cast("string"))) for c in fields])
 
     def by_topic(bad) -> Column:
         rule = any_of(DEFAULT_FIELDS, bad)
@@ -154,10 +159,15 @@ def event_error(df: DataFrame, topic: Column) -> Column:
 
     time = F.col("timestamp").cast("string")
     number, text = time.try_cast("double"), F.try_to_timestamp(time)
-    off = lambda c, n: ~F.col(c).between(-n, n) if c in df.columns else F.lit(False)
+    def off(c: str, n: float) -> Column:
+        if c not in df.columns:
+            return F.lit(False)
+        degrees = F.col(c).cast("string").try_cast("double")
+        return F.col(c).isNotNull() & (degrees.isNull() | ~degrees.between(-n, n))
+
     return (
         F.when(by_topic(lambda c: c.isNull()), "missing_fields")
-        .when(by_topic(lambda c: F.trim(c.cast("string")) == ""), "empty_string")
+        .when(by_topic(lambda c: c.cast("string") == ""), "null_values")
         .when(F.coalesce(off("latitude", 90.0), F.lit(False)), "invalid_latitude")
         .when(F.coalesce(off("longitude", 180.0), F.lit(False)), "invalid_longitude")
         .when(F.coalesce(number <= 0, text.isNull()), "invalid_timestamp")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,7 +30,7 @@ def pool_number(x: Column) -> Column:
 
 
 def _as_negatives(pairs: DataFrame) -> DataFrame:
-    return pairs.select("user_id", "experience_id", F.lit(0).alias("engagement_strength"), F.lit(None).cast("timestamp_ntz").alias("event_timestamp"), F.lit(0.0).alias("label"), F.lit("random_negative").alias("sample_type"))
+    return pairs.select("user_id", "experience_id", F.lit(0).alias("engagement_strength"), F.lit(None).cast("timestamp_ntz").alias("event_timestamp"), F.lit(0.0).alias("label"), F.lit("random").alias("sample_type"))
 
 
 def _prime_factors(n: int) -> list[int]:
@@ -72,33 +71,16 @@ def negatives(pos: DataFrame, pool: DataFrame, per_positive: int = 4) -> DataFra
     return _as_negatives(free.filter(F.col("turn") <= per_positive * F.col("n")))
 
 
-def negatives_by_slots(pos: DataFrame, pool: DataFrame, per_positive: int = 4, slots: int = 1 << 16) -> DataFrame:
-    """At most per_positive items for each positive by the rule of the registered queries' SQL: of the items that fall on one slot only the lowest can be drawn, and nothing is drawn again.
-
-    No cross join: the pool's items are numbered by hash into slots, and each positive draws slots
-    by a seeded hash of (user, item, draw). Draws that hit an empty slot take the next used one
-    through a table of slots, whose size is fixed. Drawn pairs are distinct.
-    """
-    items = pool.select("experience_id").filter("experience_id IS NOT NULL").distinct()
-    numbered = items.groupBy(F.pmod(pool_number(F.col("experience_id")), F.lit(slots)).alias("slot")).agg(F.min("experience_id").alias("experience_id"))
-    ranked = numbered.withColumns({"r": F.row_number().over(Window.orderBy("slot")) - 1, "n": F.count(F.lit(1)).over(Window.partitionBy())})  # at most `slots` rows
-    draws = pos.select("user_id", F.col("experience_id").alias("_for"), F.explode(F.sequence(F.lit(1), F.lit(per_positive))).alias("draw"))
-    total = ranked.select("n").limit(1)
-    wanted = draws.join(F.broadcast(total), F.lit(True)).withColumn("r", F.pmod(pool_number(F.concat_ws("|", "user_id", "_for", F.col("draw").cast("string"))), F.col("n")))
-    drawn = wanted.drop("n").join(F.broadcast(ranked.select("r", "experience_id")), "r").select("user_id", "experience_id").distinct()
-    return _as_negatives(drawn.join(pos.select("user_id", "experience_id"), ["user_id", "experience_id"], "left_anti"))
-
-
 def cross_features(df: DataFrame, bucket: bool = True) -> DataFrame:
     """Distance and same-city columns where both sides have them."""
     km = haversine(F.col("user_location_lat"), F.col("user_location_lng"), F.col("exp_location_lat"), F.col("exp_location_lng"))
-    out = df.withColumns({"distance_km": km, "same_city": same_city(F.col("user_city"), F.col("exp_city"))})
-    return out.withColumn("distance_bucket", distance_bucket(F.col("distance_km"))) if bucket else out
+    out = df.withColumns({"cross_distance_km": km, "cross_same_city": same_city(F.col("user_city"), F.col("exp_city"))})
+    return out.withColumn("cross_distance_bucket", distance_bucket(F.col("cross_distance_km"))) if bucket else out
 
 
-def two_tower(feedback: DataFrame, users: DataFrame, experiences: DataFrame, d: date, per_positive: int = 4, draw: Callable[..., DataFrame] = negatives) -> DataFrame:
+def two_tower(feedback: DataFrame, users: DataFrame, experiences: DataFrame, d: date, per_positive: int = 4) -> DataFrame:
     pos = positives(feedback)
-    samples = pos.unionByName(draw(pos, experiences.select("experience_id"), per_positive)).drop("event_timestamp")
+    samples = pos.unionByName(negatives(pos, experiences.select("experience_id"), per_positive)).drop("event_timestamp")
     both = samples.join(users, "user_id", "left").join(experiences, "experience_id", "left")
     return cross_features(both, bucket=False).withColumn("training_date", F.lit(d))
 
@@ -135,16 +117,18 @@ def label_distribution(labelled: DataFrame) -> DataFrame:
 
 
 def device_context(feedback: DataFrame) -> DataFrame:
-    """The device of a request's first event (by time, then id)."""
+    """The device of a request's first event (by time, then id), and its client's time."""
     names = ["platform", "app_version", "screen_width", "screen_height"]
-    cols = F.struct(*[F.col(f"device_context_{n}").alias(n) for n in names], F.col("session_id").alias("context_session"))
+    said = F.col("client_timestamp") if "client_timestamp" in feedback.columns else F.col("event_timestamp")
+    cols = F.struct(*[F.col(f"device_context_{n}").alias(f"ctx_{n}") for n in names], said.alias("ctx_client_timestamp"))
     return feedback.filter("request_id IS NOT NULL").groupBy("request_id").agg(F.min_by(cols, F.struct("event_timestamp", "event_id")).alias("c")).select("request_id", "c.*")
 
 
 def context_features(labelled: DataFrame, feedback: DataFrame) -> DataFrame:
-    """Device and time of the request; a missing time is hour 12 of day 1 (Sunday = 1)."""
-    hour, dow = F.coalesce(F.hour("served_at"), F.lit(12)), F.coalesce(F.dayofweek("served_at"), F.lit(1))
-    return labelled.join(device_context(feedback), "request_id", "left").withColumns({"hour_of_day": hour, "day_of_week": dow, "is_weekend": dow.isin(1, 7), "time_bucket": time_bucket(hour)})
+    """Device and time of the request's feedback; without any the time is hour 12 of day 1 (Sunday = 1)."""
+    t = F.col("ctx_client_timestamp")
+    hour, dow = F.coalesce(F.hour(t), F.lit(12)), F.coalesce(F.dayofweek(t), F.lit(1))
+    return labelled.join(device_context(feedback), "request_id", "left").withColumns({"ctx_hour_of_day": hour, "ctx_day_of_week": dow, "ctx_is_weekend": dow.isin(1, 7), "ctx_time_bucket": time_bucket(hour)})
 
 
 def ranking_set(served: DataFrame, feedback: DataFrame, users: DataFrame, experiences: DataFrame, d: date) -> DataFrame:

@@ -74,23 +74,37 @@ tk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, catego
 top AS (SELECT user_id, string_agg(category_name, '|' ORDER BY rk) AS user_top_categories FROM tk WHERE rk <= 5 GROUP BY user_id)"""
 _POS = """p0 AS (SELECT *, CASE WHEN kind = 'ACTION' THEN 3 WHEN kind = 'VIEW' AND dwell >= 3000 THEN 2 WHEN kind = 'CLICK' THEN 1 END AS strength FROM fb),
 pos AS (SELECT * FROM p0 WHERE strength IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id, experience_id ORDER BY strength DESC, ts DESC, event_id) = 1)"""
-_NEG = """pool AS (SELECT CAST(('0x' || substr(md5(id), 1, 15)) AS BIGINT) % 65536 AS slot, min(id) AS id FROM ex GROUP BY 1),
-pr AS (SELECT id, row_number() OVER (ORDER BY slot) - 1 AS r, count(*) OVER () AS n FROM pool),
-draws AS (SELECT user_id, CAST(('0x' || substr(md5(user_id || '|' || experience_id || '|' || CAST(d AS VARCHAR)), 1, 15)) AS BIGINT) % (SELECT max(n) FROM pr) AS r FROM pos, (SELECT unnest([1, 2, 3, 4]) AS d)),
-neg AS (SELECT DISTINCT user_id, pr.id AS experience_id FROM draws JOIN pr USING (r) WHERE NOT EXISTS (SELECT 1 FROM pos WHERE pos.user_id = draws.user_id AND pos.experience_id = pr.id))"""
+_NEG = """num AS (SELECT id, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(id), 1, 15)) AS BIGINT) % 65536, id) - 1 AS r FROM ex),
+size AS (SELECT count(*) AS total FROM num),
+usr AS (SELECT user_id, count(*) AS n, CAST(('0x' || substr(md5(user_id || '|start'), 1, 15)) AS BIGINT) % (SELECT total FROM size) AS b0, CAST(('0x' || substr(md5(user_id || '|step'), 1, 15)) AS BIGINT) % (SELECT total FROM size) + 1 AS near FROM pos GROUP BY user_id),
+step AS (SELECT *, near + (SELECT min(d) FROM range(128) t(d) WHERE gcd(near + d, (SELECT total FROM size)) = 1) AS s FROM usr),
+walk AS (SELECT user_id, n, unnest(range(least(5 * n, (SELECT total FROM size)))) AS k, b0, s FROM step),
+free AS (SELECT w.user_id, num.id AS experience_id, w.n, row_number() OVER (PARTITION BY w.user_id ORDER BY w.k) AS turn FROM walk w JOIN num ON num.r = (w.b0 + w.k * (w.s % (SELECT total FROM size))) % (SELECT total FROM size)
+  WHERE NOT EXISTS (SELECT 1 FROM pos WHERE pos.user_id = w.user_id AND pos.experience_id = num.id)),
+neg AS (SELECT user_id, experience_id FROM free WHERE turn <= 4 * n)"""
 _WHO = "LEFT JOIN pf u ON u.id = {0}.user_id LEFT JOIN ex e ON e.id = {0}.experience_id"
 _DEDUP = "md5('events.raw:' || CAST(event_id % 4 AS VARCHAR) || ':' || CAST(event_id AS VARCHAR) || ':' || CAST((epoch_us(ts) // 1000) AS VARCHAR))"
 
+_DEVICE = "dc AS (SELECT request_id, arg_min('p' || CAST(eid % 3 AS VARCHAR), (ts, event_id)) AS platform, min(ts) AS t0 FROM fb WHERE request_id IS NOT NULL GROUP BY 1)"
+_DEVICE_ENGAGED = _DEVICE.replace("request_id IS NOT NULL", "request_id IS NOT NULL AND kind IN ('CLICK', 'VIEW', 'ACTION')")
+_HOUR = "CAST(coalesce(hour(t0), 12) AS INTEGER)"
+
+
+def _last(column: str, n: int, name: str) -> str:
+    """The last n distinct values of a user's day in order of first appearance, as one text."""
+    return f"""{name} AS (SELECT user_id, day, string_agg(v, '|' ORDER BY first) AS {name} FROM (SELECT user_id, day, {column} AS v, min(rn) AS first FROM o GROUP BY user_id, day, {column} QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY min(rn) DESC) <= {n}) GROUP BY ALL)"""
+
+
 ORACLES = {
     "user_engagement_raw": _engagement(False),
     "user_engagement_smoothed": _engagement(True),
     "experience_engagement_raw": _items(False),
     "experience_engagement_smoothed": _items(True),
     "session_features": f"""WITH {FB},
-a AS (SELECT *, (epoch_us(ts) // 1000) // 1000 AS s, lag((epoch_us(ts) // 1000) // 1000) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM fb WHERE ts >= TIMESTAMP '2024-01-30' AND ts < TIMESTAMP '2024-01-31'),
-b AS (SELECT *, sum(CASE WHEN p IS NULL OR s - p > 1800 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM a)
-SELECT user_id, user_id || '_' || CAST(CAST(n AS BIGINT) AS VARCHAR) AS session_id, CAST(max(s) - min(s) AS BIGINT) AS session_duration_seconds, count(*) AS session_event_count, CAST(0 AS BIGINT) AS session_location_changes,
-  count(DISTINCT experience_id) AS session_unique_experiences, (epoch_us(max(ts)) // 1000) AS event_timestamp FROM b GROUP BY user_id, n""",
+a AS (SELECT *, epoch_us(ts) // 1000000 AS s, lag(epoch_us(ts) // 1000000) OVER (PARTITION BY user_id ORDER BY ts) AS p, lag(position % 3) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM fb WHERE ts >= TIMESTAMP '2024-01-30' AND ts < TIMESTAMP '2024-01-31'),
+b AS (SELECT *, sum(CASE WHEN s - p > 1800 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM a)
+SELECT user_id, user_id || '_' || CAST(CAST(n AS BIGINT) AS VARCHAR) AS session_id, CAST(max(s) - min(s) AS BIGINT) AS session_duration_seconds, count(*) AS session_event_count, count(*) FILTER (was <> position % 3) AS session_location_changes,
+  count(DISTINCT experience_id) AS session_unique_experiences, (epoch_us(TIMESTAMP '2024-01-30') // 1000) AS event_timestamp FROM b GROUP BY user_id, n""",
     "user_top_categories": f"WITH {FB}, {EX}, {_TOP} SELECT * FROM top",
     "latest_profile": f"WITH {FB} SELECT user_id, event_id, 'EVENT_TYPE_' || kind AS event_type, (epoch_us(ts) // 1000) AS event_timestamp FROM fb QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, eid) = 1",
     "latest_content": f"WITH {FB} SELECT experience_id, event_id, user_id, (epoch_us(ts) // 1000) AS event_timestamp FROM fb QUALIFY row_number() OVER (PARTITION BY experience_id ORDER BY ts DESC, eid) = 1",
@@ -109,16 +123,16 @@ h AS (SELECT *, row_number() OVER (ORDER BY i DESC, experience_id) AS rk, count(
 SELECT id AS experience_id, {PRICE} AS exp_price_tier, c AS exp_clicks_7d, round(c / CAST(i + 10 AS DOUBLE), 6) AS exp_ctr_7d, CASE WHEN rk IS NULL THEN NULL WHEN rk <= total * 0.1 THEN 'hot' WHEN rk <= total * 0.3 THEN 'popular' WHEN rk <= total * 0.7 THEN 'normal' ELSE 'cold' END AS exp_popularity_tier FROM ex LEFT JOIN h ON h.experience_id = ex.id""",
     "training_positives": f"WITH {FB}, {_POS} SELECT user_id, experience_id, strength AS engagement_strength, (epoch_us(ts) // 1000) AS event_timestamp, CAST(1 AS DOUBLE) AS label, 'positive' AS sample_type FROM pos",
     "training_negatives": f"WITH {FB}, {EX}, {_POS}, {_NEG} SELECT user_id, experience_id, CAST(0 AS DOUBLE) AS label FROM neg",
-    "two_tower": f"""WITH {FB}, {EX}, {PF}, {_POS}, {_NEG}, both_ AS (SELECT user_id, experience_id, CAST(1 AS DOUBLE) AS label, strength, 'positive' AS kind FROM pos UNION ALL SELECT user_id, experience_id, CAST(0 AS DOUBLE), 0, 'random_negative' FROM neg)
-SELECT b.user_id, b.experience_id, label, strength AS engagement_strength, kind AS sample_type, score AS user_social_score, {PRICE.replace("price", "e.price")} AS exp_price_tier, round({KM}, 3) AS distance_km, coalesce(lower(trim(u.city)) = lower(trim(e.city)), false) AS same_city FROM both_ b {_WHO.format("b")}""",
+    "two_tower": f"""WITH {FB}, {EX}, {PF}, {_POS}, {_NEG}, both_ AS (SELECT user_id, experience_id, CAST(1 AS DOUBLE) AS label, strength, 'positive' AS kind FROM pos UNION ALL SELECT user_id, experience_id, CAST(0 AS DOUBLE), 0, 'random' FROM neg)
+SELECT b.user_id, b.experience_id, label, strength AS engagement_strength, kind AS sample_type, score AS user_social_score, {PRICE.replace("price", "e.price")} AS exp_price_tier, round({KM}, 3) AS cross_distance_km, coalesce(lower(trim(u.city)) = lower(trim(e.city)), false) AS cross_same_city FROM both_ b {_WHO.format("b")}""",
     "served_exploded": f"WITH {FB}, {SERVED} SELECT request_id, position, experience_id, CAST(0.5 AS DOUBLE) AS ranking_score FROM items",
     "ranking_labels": f"WITH {FB}, {LABELS} SELECT request_id, position, experience_id, clicked, acted, dwell_ms, label FROM lab",
     "label_distribution": f"WITH {FB}, {LABELS} SELECT label, count(*) AS n FROM lab GROUP BY label",
-    "ranking_context": f"""WITH {FB}, {LABELS}, dc AS (SELECT request_id, arg_min('p' || CAST(eid % 3 AS VARCHAR), (ts, event_id)) AS platform FROM fb WHERE request_id IS NOT NULL GROUP BY 1)
-SELECT lab.request_id, position, experience_id, platform, CAST(hour(served_at) AS INTEGER) AS hour_of_day, CAST(dayofweek(served_at) + 1 AS INTEGER) AS day_of_week, dayofweek(served_at) + 1 IN (1, 7) AS is_weekend,
-  CASE WHEN hour(served_at) < 6 THEN 'night' WHEN hour(served_at) < 12 THEN 'morning' WHEN hour(served_at) < 17 THEN 'afternoon' WHEN hour(served_at) < 21 THEN 'evening' ELSE 'night' END AS time_bucket FROM lab LEFT JOIN dc USING (request_id)""",
-    "ranking_training": f"""WITH {FB}, {EX}, {PF}, {LABELS} SELECT l.request_id, l.experience_id, l.position, label, round(l.position / 50.0::DOUBLE, 3) AS position_normalized, CAST(l.position <= 3 AS INTEGER) AS is_top_3, CAST(hour(served_at) AS INTEGER) AS hour_of_day, score AS user_social_score,
-  {PRICE.replace("price", "e.price")} AS exp_price_tier, round({KM}, 3) AS distance_km, {BUCKET} AS distance_bucket FROM lab l {_WHO.format("l")}""",
+    "ranking_context": f"""WITH {FB}, {LABELS}, {_DEVICE}
+SELECT lab.request_id, position, experience_id, platform AS ctx_platform, {_HOUR} AS ctx_hour_of_day, CAST(coalesce(dayofweek(t0) + 1, 1) AS INTEGER) AS ctx_day_of_week, coalesce(dayofweek(t0) + 1, 1) IN (1, 7) AS ctx_is_weekend,
+  CASE WHEN {_HOUR} < 6 THEN 'night' WHEN {_HOUR} < 12 THEN 'morning' WHEN {_HOUR} < 17 THEN 'afternoon' WHEN {_HOUR} < 21 THEN 'evening' ELSE 'night' END AS ctx_time_bucket FROM lab LEFT JOIN dc USING (request_id)""",
+    "ranking_training": f"""WITH {FB}, {EX}, {PF}, {LABELS}, {_DEVICE_ENGAGED} SELECT l.request_id, l.experience_id, l.position, label, round(l.position / 50.0::DOUBLE, 3) AS position_normalized, CAST(l.position <= 3 AS INTEGER) AS is_top_3, {_HOUR} AS ctx_hour_of_day, score AS user_social_score,
+  {PRICE.replace("price", "e.price")} AS exp_price_tier, round({KM}, 3) AS cross_distance_km, {BUCKET} AS cross_distance_bucket FROM lab l LEFT JOIN dc USING (request_id) {_WHO.format("l")}""",
     "pit_join": f"""WITH {FB}, c AS (SELECT * FROM fb WHERE kind = 'CLICK'), v AS (SELECT user_id, ts, max(dwell) AS dwell FROM fb WHERE kind = 'VIEW' GROUP BY ALL)
 SELECT c.event_id, c.user_id, CASE WHEN v.ts >= c.ts - INTERVAL 1 DAY THEN v.dwell END AS dwell, CASE WHEN v.ts >= c.ts - INTERVAL 1 DAY THEN (epoch_us(v.ts) // 1000) END AS feature_timestamp FROM c ASOF LEFT JOIN v ON c.user_id = v.user_id AND c.ts >= v.ts""",
     "dq_null_rates": f"""WITH {FB}, a AS (SELECT count(*) AS total, count(*) FILTER (user_id IS NULL) AS u, count(*) FILTER (request_id IS NULL) AS r, count(*) FILTER (kind IS NULL) AS k FROM fb),
@@ -133,7 +147,7 @@ b AS (SELECT 'user_id' AS column_name, total, u AS nulls FROM a UNION ALL SELECT
     "dq_freshness": "WITH m AS (SELECT floor((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 1000000.0::DOUBLE) / 3600.0::DOUBLE AS age FROM events) SELECT round(age, 6) AS age_hours, age <= 24 AS fresh FROM m",
     "dq_input_report": f"WITH {FB} SELECT count(*) AS total, count(*) FILTER (user_id IS NULL) AS null_user_id, count(*) FILTER (request_id IS NULL) AS null_request_id, count(*) FILTER (ts IS NULL OR ts > TIMESTAMP '2024-01-31' OR ts < TIMESTAMP '2020-01-01') AS bad_times, CAST(0 AS BIGINT) AS bad_ids FROM fb",
     "dq_output": "SELECT DISTINCT l_orderkey, (epoch_us(l_shipdate) // 1000) AS event_timestamp FROM lineitem WHERE l_orderkey IS NOT NULL",
-    "event_validator": "SELECT CASE WHEN event_id % 11 = 0 THEN 'malformed' WHEN event_id % 13 = 0 THEN 'missing_fields' END AS error_type, count(*) AS n FROM events GROUP BY 1",
+    "event_validator": "SELECT CASE WHEN event_id % 11 = 0 THEN 'malformed' WHEN event_id % 13 = 0 THEN 'null_values' WHEN event_id % 17 = 0 THEN 'missing_fields' WHEN event_id % 19 = 0 THEN 'invalid_latitude' WHEN event_id % 23 = 0 THEN 'invalid_longitude' WHEN event_id % 29 = 0 THEN 'empty_event' WHEN event_id % 31 = 0 THEN 'type_error' WHEN event_id % 37 = 0 THEN 'invalid_timestamp' WHEN event_id % 41 = 0 THEN 'null value' END AS error_type, count(*) AS n FROM events GROUP BY 1",
     "message_dedup": f"SELECT {_DEDUP} AS message_id, event_id AS \"offset\" FROM events",
     "schema_union": f"WITH {FB} SELECT event_id, user_id, NULL AS category_name FROM fb UNION ALL SELECT CAST(p_partkey AS VARCHAR), NULL, p_type FROM part",
     "lake_roundtrip": f"WITH {FB} SELECT event_id, user_id, experience_id, 'EVENT_TYPE_' || kind AS event_type, (epoch_us(ts) // 1000) AS event_timestamp FROM fb WHERE {WEEK} AND ts < TIMESTAMP '2024-01-31'",
@@ -143,7 +157,14 @@ b AS (SELECT 'user_id' AS column_name, total, u AS nulls FROM a UNION ALL SELECT
   round(least(sum(CASE raw_type WHEN 'view' THEN 1.0 WHEN 'click' THEN 2.0 ELSE 0.5 END) / (5 * count(*)), 1.0), 4) AS engagement_score, day FROM seg GROUP BY user_id, day""",
     "stream_session_features": f"""WITH {FB}, {SEG}, a AS (SELECT *, lag(ms) OVER (PARTITION BY user_id ORDER BY ms) AS p FROM seg), b AS (SELECT *, sum(CASE WHEN p IS NULL OR ms - p >= 21600000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ms) AS n FROM a)
 SELECT user_id, CAST(count(*) AS INTEGER) AS activity_count, strftime(min(ts), '%Y%m%d%H%M%S') AS began, round((max(ms) - min(ms)) / 1000.0::DOUBLE, 3) AS session_duration_seconds FROM b GROUP BY user_id, n""",
+    "stream_realtime_user": f"""WITH {FB}, {SEG}, o AS (SELECT *, 'cat' || CAST(k % 7 AS VARCHAR) AS cat, 't' || CAST(k % 13 AS VARCHAR) AS tag, CAST(k AS VARCHAR) AS item, row_number() OVER (PARTITION BY user_id, day ORDER BY ms, raw_type, eid) AS rn FROM seg),
+{_last("cat", 5, "recent_categories_viewed")}, {_last("tag", 10, "recent_tags_interacted")}, {_last("item", 50, "user_viewed_experiences")},
+focus AS (SELECT user_id, day, cat AS session_category_focus FROM o GROUP BY user_id, day, cat QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY count(*) DESC, min(rn)) = 1)
+SELECT * FROM recent_categories_viewed JOIN recent_tags_interacted USING (user_id, day) JOIN user_viewed_experiences USING (user_id, day) JOIN focus USING (user_id, day)""",
+    "experience_features": f"""WITH {FB}, {EX}, a AS (SELECT *, eid % 5 AS m FROM fb WHERE {WEEK} AND ts < TIMESTAMP '2024-01-31')
+SELECT a.experience_id, count(*) FILTER (m = 0) AS exp_views_7d, count(*) FILTER (m IN (3, 4)) AS exp_actions_7d, round(avg(CASE m WHEN 0 THEN 0.2 WHEN 1 THEN 0.4 WHEN 2 THEN 0.6 WHEN 3 THEN 0.8 ELSE 1.0 END), 6) AS exp_avg_engagement_7d, any_value(e.city) AS exp_city,
+  any_value({PRICE.replace("price", "e.price")}) AS exp_price_tier, true AS is_valid, (epoch_us(TIMESTAMP '2024-01-30') // 1000) AS event_timestamp FROM a LEFT JOIN ex e ON e.id = a.experience_id GROUP BY a.experience_id""",
     "online_upsert_diff": f"WITH {PF} SELECT 'u:' || id AS key, city, CAST(score AS VARCHAR) AS score FROM pf WHERE CAST(id AS BIGINT) % 5 = 0 AND score IS DISTINCT FROM -1",
-    "position_features": f"WITH {FB} SELECT event_id, position, round(position / 50.0::DOUBLE, 6) AS position_normalized, CAST(position <= 3 AS INTEGER) AS is_top_3, CAST(position <= 10 AS INTEGER) AS is_top_10, CAST(position <= 20 AS INTEGER) AS is_top_20, CAST(position <= 10 AS INTEGER) AS is_first_page FROM fb",
-    "cross_features": f"WITH {FB}, {EX}, {PF}, d AS (SELECT DISTINCT user_id, experience_id FROM fb) SELECT d.user_id, d.experience_id, round({KM}, 3) AS distance_km, {BUCKET} AS distance_bucket, coalesce(lower(trim(u.city)) = lower(trim(e.city)), false) AS same_city FROM d {_WHO.format('d')}",
+    "position_features": f"WITH {FB} SELECT event_id, position, round(position / 50.0::DOUBLE, 6) AS position_normalized, CAST(position <= 3 AS INTEGER) AS is_top_3, CAST(position <= 10 AS INTEGER) AS is_top_10, CAST(position <= 20 AS INTEGER) AS is_top_20, position <= 10 AS is_first_page, CASE WHEN position <= 3 THEN 'top_3' WHEN position <= 10 THEN 'top_10' WHEN position <= 20 THEN 'top_20' ELSE 'below_20' END AS position_bucket FROM fb",
+    "cross_features": f"WITH {FB}, {EX}, {PF}, d AS (SELECT DISTINCT user_id, experience_id FROM fb) SELECT d.user_id, d.experience_id, round({KM}, 3) AS cross_distance_km, {BUCKET} AS cross_distance_bucket, coalesce(lower(trim(u.city)) = lower(trim(e.city)), false) AS cross_same_city FROM d {_WHO.format('d')}",
 }

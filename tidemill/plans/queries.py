@@ -57,7 +57,8 @@ def experience_engagement_smoothed(s, d):
 
 
 def session_features(s, d):
-    return flat(features.session_features(src.feedback(s, d), D))
+    located = src.feedback(s, d).withColumn("city", F.concat(F.lit("c"), (F.col("position") % 3).cast("string")))
+    return flat(features.session_features(located, D, city="city"))
 
 
 def user_top_categories(s, d):
@@ -100,7 +101,7 @@ def training_positives(s, d):
 
 
 def training_negatives(s, d):
-    return training.negatives_by_slots(training.positives(src.feedback(s, d)), _items(s, d)).select("user_id", "experience_id", "label")
+    return training.negatives(training.positives(src.feedback(s, d)), _items(s, d)).select("user_id", "experience_id", "label")
 
 
 def _users(s, d):
@@ -112,8 +113,8 @@ def _items(s, d):
 
 
 def two_tower(s, d):
-    out = training.two_tower(src.feedback(s, d), _users(s, d), _items(s, d), D, draw=training.negatives_by_slots)
-    return flat(out.select("user_id", "experience_id", "label", "engagement_strength", "sample_type", "user_social_score", "exp_price_tier", "distance_km", "same_city"), 3)
+    out = training.two_tower(src.feedback(s, d), _users(s, d), _items(s, d), D)
+    return flat(out.select("user_id", "experience_id", "label", "engagement_strength", "sample_type", "user_social_score", "exp_price_tier", "cross_distance_km", "cross_same_city"), 3)
 
 
 def served_exploded(s, d):
@@ -134,12 +135,12 @@ def label_distribution(s, d):
 
 def ranking_context(s, d):
     out = training.context_features(_labels(s, d), src.feedback(s, d))
-    return flat(out.select("request_id", "position", "experience_id", "platform", "hour_of_day", "day_of_week", "is_weekend", "time_bucket"))
+    return flat(out.select("request_id", "position", "experience_id", "ctx_platform", "ctx_hour_of_day", "ctx_day_of_week", "ctx_is_weekend", "ctx_time_bucket"))
 
 
 def ranking_training(s, d):
     out = training.ranking_set(src.served(s, d), src.feedback(s, d).filter("event_type IN ('EVENT_TYPE_CLICK', 'EVENT_TYPE_VIEW', 'EVENT_TYPE_ACTION')"), _users(s, d), _items(s, d), D)
-    return flat(out.select("request_id", "experience_id", "position", "label", "position_normalized", "is_top_3", "hour_of_day", "user_social_score", "exp_price_tier", "distance_km", "distance_bucket"), 3)
+    return flat(out.select("request_id", "experience_id", "position", "label", "position_normalized", "is_top_3", "ctx_hour_of_day", "user_social_score", "exp_price_tier", "cross_distance_km", "cross_distance_bucket"), 3)
 
 
 def position(s, d):
@@ -149,7 +150,7 @@ def position(s, d):
 
 def cross(s, d):
     rows = src.feedback(s, d).select("user_id", "experience_id").distinct()
-    return flat(training.cross_features(rows.join(_users(s, d), "user_id", "left").join(_items(s, d), "experience_id", "left")).select("user_id", "experience_id", "distance_km", "distance_bucket", "same_city"), 3)
+    return flat(training.cross_features(rows.join(_users(s, d), "user_id", "left").join(_items(s, d), "experience_id", "left")).select("user_id", "experience_id", "cross_distance_km", "cross_distance_bucket", "cross_same_city"), 3)
 
 
 def pit_join(s, d):
@@ -209,7 +210,15 @@ def dq_output(s, d):
 
 
 def event_validator(s, d):
-    msgs = src.envelopes(s, d).withColumn("value", F.when(F.col("offset") % 11 == 0, F.lit("{bad")).when(F.col("offset") % 13 == 0, F.regexp_replace("value", '"user_id":"[0-9]+"', '"user_id":" "')).otherwise(F.col("value")))
+    value = F.col("value")
+    faults = [
+        (11, F.lit("{bad")), (13, F.regexp_replace(value, '"user_id":"[0-9]+"', '"user_id":""')), (17, F.regexp_replace(value, '"user_id":"[0-9]+",', "")), (19, F.regexp_replace(value, '"latitude":[0-9.]+', '"latitude":"abc"')),
+        (23, F.regexp_replace(value, '"longitude":[0-9.]+', '"longitude":-180.5')), (29, F.lit("{ }")), (31, F.lit("[1, 2]")), (37, F.regexp_replace(value, '"timestamp":"[0-9]+"', '"timestamp":"soon"')), (41, F.lit(None).cast("string")),
+    ]
+    said = value
+    for n, text in reversed(faults):
+        said = F.when(F.col("offset") % n == 0, text).otherwise(said)
+    msgs = src.envelopes(s, d).withColumn("value", said)
     return stream.parse_events(msgs).groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -266,6 +275,12 @@ def stream_realtime_user(s, d):
     return flat(out.select("user_id", F.date_format("window_start", "yyyyMMdd").alias("day"), "recent_categories_viewed", "recent_tags_interacted", "session_category_focus", "user_viewed_experiences"))
 
 
+def experience_features(s, d):
+    scored = src.feedback(s, d).withColumn("event_type", F.element_at(F.array(*[F.lit(x) for x in ("view", "click", "bookmark", "share", "rsvp")]), (F.col("event_id").cast("int") % 5 + 1)))
+    out = features.experience_features(scored, D, src.experiences(s, d))
+    return flat(out.select("experience_id", "exp_views_7d", "exp_actions_7d", "exp_avg_engagement_7d", "exp_city", "exp_price_tier", "is_valid", "event_timestamp"))
+
+
 def online_upsert_diff(s, d):
     rows = src.profiles(s, d).select(F.col("id").alias("user_id"), F.col("current_address_city").alias("city"), F.col("social_score").alias("score"))
     old = rows.withColumn("score", F.when(F.col("user_id").cast("int") % 5 == 0, F.lit(-1)).otherwise(F.col("score")))
@@ -274,7 +289,7 @@ def online_upsert_diff(s, d):
 
 QUERIES = {f.__name__: f for f in (
     user_engagement_raw, user_engagement_smoothed, experience_engagement_raw, experience_engagement_smoothed, session_features, user_top_categories, latest_profile, latest_content, user_features_full,
-    user_profile, experience_profile, merged_user_features, merged_experience_features, training_positives, training_negatives, two_tower, served_exploded, ranking_labels, label_distribution,
+    user_profile, experience_profile, experience_features, merged_user_features, merged_experience_features, training_positives, training_negatives, two_tower, served_exploded, ranking_labels, label_distribution,
     ranking_context, ranking_training, pit_join, dq_null_rates, dq_numeric_range, dq_duplicates, dq_timestamp_validity, dq_split_valid, dq_flags, dq_validity_rate, dq_skew, dq_freshness, dq_input_report,
     dq_output, event_validator, message_dedup, schema_union, lake_roundtrip, partition_listing, latest_partition, stream_tumbling_features, stream_session_features, stream_realtime_user, online_upsert_diff,
 )} | {"position_features": position, "cross_features": cross}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ENVELOPE = "_event_type string, _event_version int, _timestamp string, _trace_id string, user_id string, userId string, id string, session_id string, sessionId string, event_type string, timestamp string, created_at string, latitude double, longitude double, category_name string, category string, tags array<string>, experience_id string, experienceId string, target_id string, recommendations array<struct<event_id:string,experience_id:string>>, topic string, partition int, offset long"
+ENVELOPE = "_event_type string, _event_version int, _timestamp string, _trace_id string, user_id string, userId string, id string, session_id string, sessionId string, event_type string, timestamp string, created_at string, latitude string, longitude string, category_name string, category string, tags array<string>, experience_id string, experienceId string, target_id string, recommendations array<struct<event_id:string,experience_id:string>>, topic string, partition int, offset long"
 
 
 def frame_id(value: Column) -> Column:
@@ -23,13 +23,23 @@ def frame(schema_id: int, payload: Column) -> Column:
 
 
 def parse(messages: DataFrame, value: str = "value", schema: str = ENVELOPE) -> DataFrame:
-    """messages with the fields of the envelope and _parse_error (null when well formed)."""
+    """messages with the fields of the envelope and _parse_error (null when well formed).
+
+    The JSON is read once: a generator holds it, which the optimizer neither copies into filters nor moves.
+    Errors: null value, empty_event (no text or no fields), type_error (JSON, but no object), malformed.
+    """
     text = F.col(value).cast("string")
-    parsed = messages.withColumn("_e", F.from_json(text, schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-    error = F.when(text.isNull(), "null value").when(F.col("_e._corrupt").isNotNull(), "malformed").when(F.trim(text).isin("", "{}"), "empty")
-    rest = [c for c in messages.columns if c != value]
+    struct = F.from_json(text, schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parsed = messages.select("*", F.explode(F.array(struct)).alias("_e"))
+    bare = F.trim(text)
+    error = (
+        F.when(text.isNull(), "null value").when((bare == "") | bare.rlike(r"^\{\s*\}$"), "empty_event")
+        .when(~bare.startswith("{") & F.expr(f"try_parse_json(cast({value} as string))").isNotNull(), "type_error")
+        .when(F.col("_e._corrupt").isNotNull() | ~bare.startswith("{"), "malformed")
+    )
     names = [x.strip().split(" ")[0] for x in schema.replace("array<struct<event_id:string,experience_id:string>>", "x").split(",")]
-    return parsed.select(*[c for c in rest if c not in names], F.col(value), *[F.col(f"_e.{n}").alias(n) for n in names], error.alias("_parse_error"))
+    # the message's own topic, partition and offset stand before fields of these names in its body
+    return parsed.select(*messages.columns, *[F.col(f"_e.{n}").alias(n) for n in names if n not in messages.columns], error.alias("_parse_error"))
 
 
 def message_id(topic: Column, partition: Column, offset: Column, ts: Column) -> Column:

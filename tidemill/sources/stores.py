@@ -49,8 +49,13 @@ def as_entries(df: DataFrame, key: str, prefix: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).select(F.concat(F.lit(f"{prefix}:"), F.col(key).cast("string")).alias("key"), value.alias("value")).withColumn("digest", content_hash("value"))
 
 
+# Fields that say when, not what.
+NOT_CONTENT = ["_hash", "updated_at", "created_at", "timestamp"]
+
+
 def content_hash(value: str) -> Column:
-    return F.md5(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(value)))))
+    said = F.map_filter(value, lambda k, v: ~k.isin(NOT_CONTENT))
+    return F.md5(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(said)))))
 
 
 def changed(entries: DataFrame, stored: DataFrame) -> DataFrame:

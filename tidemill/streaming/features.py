@@ -12,18 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import OTHER_STREAM_WEIGHT, STREAM_WEIGHTS, haversine, last_distinct, lookup, parse_time
+from ..functions.expressions import OTHER_STREAM_WEIGHT, STREAM_WEIGHTS, epoch_ms, haversine, last_distinct, lookup, parse_time
 from ..operators.quality import event_error
 from ..sources.envelope import dead_letters, message_id, parse
 from ..sources.stores import TableStore, as_entries
 
 WATERMARK = "1 minute"
+# Lengths of the lists.
 LISTS = {"categories": 5, "tags": 10, "experiences": 50}
 MOVED_M = 100.0
 
 
 def event_time(df: DataFrame) -> Column:
-    return F.coalesce(*[parse_time(F.col(c)) for c in ("_timestamp", "timestamp", "created_at") if c in df.columns])
+    """An instant (watermarks need one) that does not depend on the session's zone."""
+    said = F.coalesce(*[parse_time(F.col(c)) for c in ("_timestamp", "timestamp", "created_at") if c in df.columns])
+    return F.timestamp_millis(epoch_ms(said))
 
 
 def user_of(df: DataFrame) -> Column:
@@ -35,9 +38,11 @@ def user_of(df: DataFrame) -> Column:
 def parse_events(messages: DataFrame) -> DataFrame:
     """Messages as typed events with event_timestamp, user_id and error_type (null when valid)."""
     df = parse(messages)
-    df = df.withColumns({"user_id": user_of(df), "session_id": F.coalesce("session_id", "sessionId"), "experience_id": F.coalesce("experience_id", "experienceId"), "category_name": F.coalesce("category_name", "category"), "event_timestamp": event_time(df)})
-    topic = F.coalesce("topic", F.lit("events.raw"))
-    return df.withColumn("error_type", F.coalesce("_parse_error", event_error(df, topic), F.when(F.col("event_timestamp").isNull(), "invalid_timestamp")))
+    # an empty user_id is a fault of its own, so the field as it came is judged before the user is resolved
+    df = df.withColumn("_fault", F.coalesce("_parse_error", event_error(df, F.coalesce("topic", F.lit("events.raw")), {"user_id": F.coalesce("user_id", user_of(df))})))
+    degrees = {c: F.col(c).try_cast("double") for c in ("latitude", "longitude")}
+    df = df.withColumns(degrees | {"user_id": user_of(df), "session_id": F.coalesce("session_id", "sessionId"), "experience_id": F.coalesce("experience_id", "experienceId"), "category_name": F.coalesce("category_name", "category"), "event_timestamp": event_time(df)})
+    return df.withColumn("error_type", F.coalesce("_fault", F.when(F.col("event_timestamp").isNull(), "invalid_timestamp"))).drop("_fault")
 
 
 def split_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -53,14 +58,22 @@ def deduplicate(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
 
 
 def event_name(df: DataFrame) -> Column:
-    inner = F.when(F.trim("event_type") != "", F.lower("event_type"))
-    return F.coalesce(inner, F.lower(F.substring_index("_event_type", ".", 1)), F.lit("unknown"))
+    """The inner event type; where it says nothing, the last part of the message's name."""
+    inner = F.when(~F.lower(F.trim("event_type")).isin("", "unknown"), F.lower("event_type"))
+    return F.coalesce(inner, F.lower(F.substring_index("_event_type", ".", -1)), F.lit("unknown"))
+
+
+def event_weight(name: Column) -> Column:
+    """A feedback message counts by the action in its inner type."""
+    inner = F.lower(F.coalesce("event_type", F.lit("")))
+    feedback = F.when(inner.contains("view"), 1.0).when(inner.contains("click"), 2.0).otherwise(OTHER_STREAM_WEIGHT)
+    return F.when(name.contains("feedback"), feedback).otherwise(lookup(name, STREAM_WEIGHTS, OTHER_STREAM_WEIGHT))
 
 
 def windowed(events: DataFrame, window: Column, watermark: str | None = None) -> DataFrame:
     """Session and real-time features of each user and window. watermark: for a stream that has none yet (deduplicate() sets one)."""
     name = event_name(events)
-    row = F.struct(F.col("event_timestamp").alias("ts"), name.alias("name"), lookup(name, STREAM_WEIGHTS, OTHER_STREAM_WEIGHT).alias("weight"), "latitude", "longitude", F.col("category_name").alias("category"), "tags", "experience_id", "session_id", F.col("_event_type").alias("kind"), "recommendations")
+    row = F.struct(F.col("event_timestamp").alias("ts"), name.alias("name"), event_weight(name).alias("weight"), "latitude", "longitude", F.col("category_name").alias("category"), "tags", "experience_id", "session_id", F.col("_event_type").alias("kind"), "recommendations")
     base = events.withWatermark("event_timestamp", watermark) if events.isStreaming and watermark else events
     grouped = base.groupBy(F.coalesce("user_id", F.lit("unknown")).alias("user_id"), window.alias("w")).agg(F.array_sort(F.collect_list(row)).alias("e"))
     return grouped.select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *_features(F.col("e")))
@@ -86,7 +99,7 @@ def _features(e: Column) -> list[Column]:
     score = F.round(F.least(F.aggregate(e, F.lit(0.0), lambda s, x: s + x["weight"]) / (5 * F.size(e)), F.lit(1.0)), 4)
     session = F.coalesce(first["session_id"], F.substring(F.md5(F.concat_ws(":", first["ts"].cast("string"), first["kind"])), 1, 12))
     return [
-        session.alias("session_id"), first["ts"].alias("session_start"), last["ts"].alias("session_end"), ((last["ts"].cast("double") - first["ts"].cast("double"))).alias("session_duration_seconds"), F.size(e).alias("activity_count"),
+        session.alias("session_id"), first["ts"].alias("session_start"), last["ts"].alias("session_end"), (F.timestamp_diff("MICROSECOND", first["ts"], last["ts"]) / 1e6).alias("session_duration_seconds"), F.size(e).alias("activity_count"),
         F.size(F.array_distinct(names)).alias("unique_event_types"), F.map_from_entries(F.transform(F.array_distinct(names), lambda n: F.struct(n, F.size(F.filter(names, lambda x: x == n))))).alias("event_type_counts"), last["name"].alias("last_event_type"),
         location_changes(located).alias("location_changes"), place["latitude"].alias("last_latitude"), place["longitude"].alias("last_longitude"), score.alias("engagement_score"),
         last_distinct(cats, LISTS["categories"]).alias("recent_categories_viewed"), last_distinct(tags, LISTS["tags"]).alias("recent_tags_interacted"), F.coalesce(F.try_element_at(counted, F.lit(1))["c"], F.lit("")).alias("session_category_focus"),

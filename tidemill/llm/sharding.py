@@ -1,15 +1,17 @@
 """Shuffling into shards by a two-pass external shuffle, in DataFrame operations only.
 
 Pass one scatters rows into memory-sized buckets by a seeded hash of the row's place in the input,
-so that no id, source or group of copies can fill a bucket. Pass two shuffles each bucket
-(the built-in array shuffle is a Fisher-Yates shuffle) and writes it to the shared folder.
-A bucket is shuffled and written within one task, so a repeated task replaces its whole output.
+so that no id, source or group of copies can fill a bucket; each bucket is a task of its own. Pass two
+puts each bucket into the order of the places, shuffles it (the built-in array shuffle is a
+Fisher-Yates shuffle by a seed) and writes it. The order of arrival does not matter, so a
+repeated task, or a second run over the same files, writes the same rows in the same order.
 
-Law `rows`: the place of a row in the whole shuffled order, dealt round to the shards, gives counts
-at most one apart and slots without gaps.
+Law `rows`: a shard is a run of the whole shuffled order, so counts are at most one apart, slots have no
+gaps, and a bucket's task writes its rows straight into the one or two shards it lies in (or more, if shards
+are smaller than buckets).
 
 Cases: a null text has no bytes and checksum 0; null ids and repeated rows are ordinary rows; an
-empty table gives an empty result; other columns pass unchanged.
+empty table gives an empty result; other columns pass unchanged, but for shard and slot, which are replaced.
 """
 
 from __future__ import annotations
@@ -20,32 +22,34 @@ from pyspark.sql import functions as F
 from .common import fresh_path
 
 BUCKET_BYTES = 16 << 20
+MAX_BUCKETS = 1 << 20  # rows of the table of buckets, which is broadcast; beyond 16 TB buckets grow instead
 SEED = 20240501
 
 
-def shuffled_buckets(docs: DataFrame, text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, seed: int = SEED, path: str | None = None) -> DataFrame:
-    """docs with _bucket and _pos (its place in the shuffled bucket from 0), as written to `path`."""
-    spark = docs.sparkSession
+def assign_shards(docs: DataFrame, shards: int = 24, text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, seed: int = SEED, path: str | None = None) -> DataFrame:
+    """docs with shard and slot, as written to `path`, a folder a shard: a uniform shuffle whose shards differ by one row at most.
+
+    docs: a scan of files, so that a row's place stays the same if a task is repeated.
+    """
+    spark, docs = docs.sparkSession, docs.drop("shard", "slot")
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 64
-    total = docs.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    buckets = max(1, -(-int(total) // bucket_bytes))
-    scattered = docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(buckets)).cast("int").alias("_bucket"), F.struct(*docs.columns).alias("_row"))
-    dealt = scattered.repartition(buckets, "_bucket")
-    shuffled = dealt.groupBy("_bucket").agg(F.shuffle(F.collect_list("_row"), seed).alias("_rows"))
-    out = shuffled.select("_bucket", F.posexplode("_rows").alias("_pos", "_row")).select("_bucket", "_pos", "_row.*")
+    total, n = docs.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).first()
+    buckets = min(MAX_BUCKETS, max(1, -(-int(total) // bucket_bytes)))
+    placed = docs.select(F.monotonically_increasing_id().alias("place"), F.struct(*docs.columns).alias("row"))
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("place", F.lit(seed)), F.lit(buckets)).cast("int"))
+    # one row a bucket: where it begins in the whole order
+    counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
+    dealt = placed.repartitionById(buckets, "bucket")
+    rows = dealt.groupBy("bucket").agg(F.shuffle(F.array_sort(F.collect_list(F.struct("place", "row"))), seed).alias("rows"))
+    out = rows.join(F.broadcast(before), "bucket").select("before", F.posexplode("rows").alias("pos", "x"))
+    rank = F.col("before") + F.col("pos")
+    out = out.select("x.row.*", F.expr(f"cast((before + pos) * {shards} div {max(n, 1)} as int)").alias("shard"), rank.alias("slot"))
+    out = out.withColumn("slot", F.col("slot") - F.expr(f"(cast(shard as bigint) * {n} + {shards - 1}) div {shards}"))  # less the rank at which the shard begins
     path = path or fresh_path(spark, "shards")
-    out.write.mode("overwrite").parquet(path)
-    return spark.read.schema(out.schema).parquet(path)
-
-
-def assign_shards(docs: DataFrame, shards: int = 24, text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, seed: int = SEED) -> DataFrame:
-    """docs with shard and slot: a uniform shuffle whose shards differ by one row at most."""
-    written = shuffled_buckets(docs, text_col, bucket_bytes, seed)
-    # one row a bucket: bounded by the number of buckets, not of rows
-    counts = written.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_bucket", F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    rank = F.col("_before") + F.col("_pos")
-    return written.join(before, "_bucket").withColumns({"shard": F.pmod(rank, F.lit(shards)).cast("int"), "slot": F.expr(f"(_before + _pos) div {shards}")}).drop("_bucket", "_pos", "_before")
+    out.write.mode("overwrite").partitionBy("shard").parquet(path)
+    back = spark.read.schema(out.schema).parquet(path)
+    return back.select(*docs.columns, F.col("shard").cast("int").alias("shard"), "slot")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,13 +16,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, salted_left_join, slices, texts_of
+from .common import bitmap_of, fresh_path, marked, materialize, salted_left_join, slices, texts_of, without
 
-RULE_VERSION = "1"
 #: Kind, pattern, the group whose length counts, the least length. The first three are the base kinds.
 RULES = [
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
@@ -34,6 +32,8 @@ RULES = [
     ("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0, 1),
 ]
 BASE = 3
+#: Changes with any pattern, so that a blob is scanned again by rules that it has not met.
+RULE_VERSION = hashlib.sha256(repr([(kind, p.pattern, p.flags, group, least) for kind, p, group, least in RULES]).encode()).hexdigest()[:16]
 FINDINGS = "blob string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 NOTHING = hashlib.sha256(b"").hexdigest()
 
@@ -58,18 +58,31 @@ class BlobLedger:
         self.spark, self.path = spark, path
 
     def read(self, rule_version: str = RULE_VERSION) -> DataFrame:
-        """All blobs scanned with this version; spans is empty where nothing was found."""
-        try:
-            return self.spark.read.schema(FINDINGS).parquet(f"{self.path}/rules={rule_version}")
-        except AnalysisException:
+        """One row a blob scanned with this version, however often scans have written it; spans is empty where nothing was found."""
+        own = f"{self.path}/rules={rule_version}"
+        if not self._exists(own):
             return self.spark.createDataFrame([], FINDINGS)
+        return self.spark.read.schema(FINDINGS).parquet(own).dropDuplicates(["blob"])
+
+    def _exists(self, path: str) -> bool:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf).exists(p)
 
     def scan(self, paths: DataFrame, rule_version: str = RULE_VERSION) -> None:
-        """Scans the blobs of paths(id, text) that this version has not seen, and records them."""
+        """Scans the blobs of paths(id, text) that this version has not seen, and records them.
+
+        A blob with one path is scanned where it lies; only texts of blobs with several paths are moved, to keep one of them.
+        """
         rows = paths.select("id", F.coalesce("text", F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
-        seen = self.read(rule_version).select("blob")
-        todo = rows.groupBy("blob").agg(F.min("id").alias("_one")).join(seen, "blob", "left_anti")
-        unseen = rows.join(todo.withColumnRenamed("blob", "_blob"), (F.col("blob") == F.col("_blob")) & F.col("id").eqNullSafe(F.col("_one")), "left_semi")
+        several = rows.groupBy("blob").agg(F.min("id").alias("one"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("blob", "one", "n")
+        several = materialize(several, "ledger-several")
+        rows = marked(rows, F.xxhash64("blob"), bitmap_of(several, F.xxhash64("blob")), "maybe")
+        lone, close = rows.filter(~F.col("maybe")).select("blob", "text"), rows.filter("maybe")
+        first = salted_left_join(close, several, ["blob"], F.xxhash64("id")).filter(F.col("n").isNull() | F.col("id").eqNullSafe(F.col("one")))
+        unseen = lone.unionByName(first.select("blob", "text"))
+        if self._exists(f"{self.path}/rules={rule_version}"):
+            unseen = without(unseen, materialize(self.read(rule_version).select("blob"), "ledger-seen"), "blob")
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text", 8 << 20):
@@ -78,7 +91,7 @@ class BlobLedger:
                 yield pa.RecordBatch.from_pydict({"blob": blobs, **{n: pa.array([f[i] for f in found], pa.int64() if i < BASE else pa.string()) for i, n in enumerate(["n_assign", "n_access", "n_hex", "base_sha256", "spans"])}})
 
         found = unseen.select("blob", "text").mapInArrow(look, FINDINGS)
-        found.dropDuplicates(["blob"]).write.mode("append").parquet(f"{self.path}/rules={rule_version}")
+        found.write.mode("append").parquet(f"{self.path}/rules={rule_version}")
 
     def findings(self, paths: DataFrame, rule_version: str = RULE_VERSION) -> DataFrame:
         """paths(id, text) -> id, blob and the findings of its blob, for every path."""

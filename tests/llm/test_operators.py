@@ -106,13 +106,81 @@ def test_same_prefix_and_length_are_not_equal(spark):
     assert exact_dedup.mark_duplicates(docs(spark, [(1, a + "x"), (2, a + "y"), (3, a + "x")])).filter("kept").count() == 2
 
 
-def test_sharding(spark):
-    rows = sharding.assign_shards(docs(spark, CASES * 9).withColumn("slot", F.lit("mine")), 5, bucket_bytes=1000).select("shard", F.col("slot").cast("long").alias("slot"), "doc_id").collect()
+def test_sharding(spark, tmp_path):
+    source = f"{tmp_path}/in"
+    docs(spark, CASES * 9).withColumns({"slot": F.lit("mine"), "bucket": F.lit(1), "place": F.lit(2), "before": F.lit(3)}).repartition(3).write.parquet(source)
+    frame = spark.read.parquet(source)
+    got = sharding.assign_shards(frame, 5, bucket_bytes=1 << 20)
+    rows, again = got.collect(), sharding.assign_shards(frame, 5, bucket_bytes=1 << 20, path=f"{tmp_path}/out").collect()
     by = defaultdict(list)
     for r in rows:
         by[r.shard].append(r.slot)
-    assert len(rows) == 99 and all(sorted(x) == list(range(len(x))) for x in by.values()) and {len(x) for x in by.values()} <= {19, 20}
-    assert sharding.assign_shards(docs(spark, []), 5).count() == 0
+    assert len(rows) == 99 and all(sorted(x) == list(range(len(x))) for x in by.values()) and {len(x) for x in by.values()} == {19, 20} and sorted(by) == [0, 1, 2, 3, 4]
+    key = lambda r: (r.shard, r.slot, r.doc_id, r.text)
+    assert sorted(map(key, rows), key=lambda k: k[:2]) == sorted(map(key, again), key=lambda k: k[:2])  # the same order each time
+    assert sorted((r.doc_id or 0, r.text or "") for r in rows) == sorted((d or 0, t or "") for d, t in CASES * 9) and {r.before for r in rows} == {3}
+    assert sharding.assign_shards(frame.limit(0), 5).count() == 0
+    from tidemill.llm.queries import QUERIES
+
+    digest = QUERIES["op10_sharding"](spark, "/root/testdata/sf0.001").collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert all((r.size, r.text_crc32) == (len(texts[r.doc_id]) + 8, zlib.crc32(texts[r.doc_id])) for r in digest) and len(digest) == len(texts)
+
+
+def brute_base(text):
+    """The base kinds by a scan of its own, character by character."""
+    found, value = [], set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    low, n, i = "".join(c.lower() if c.isascii() else c for c in text), len(text), 0
+    while i < n:
+        end = None
+        for name in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if low.startswith(name, i):
+                k = i + len(name)
+                for quoted in (1, 0):
+                    p = k + 1 if quoted and k < n and text[k] in "\"'" else k if not quoted else None
+                    if p is None:
+                        continue
+                    while p < n and text[p] == " ":
+                        p += 1
+                    if p < n and text[p] in ":=":
+                        p += 1
+                        while p < n and text[p] == " ":
+                            p += 1
+                        q = p + 1 if p + 1 < n and text[p] in "\"'" and text[p + 1] in value else p
+                        e = q
+                        while e < n and text[e] in value:
+                            e += 1
+                        if e > q:
+                            end, size = e, e - q
+                            break
+            if end:
+                break
+        if end:
+            found += [(i, 0, end)] if size >= 6 else []
+            i = end
+        else:
+            i += 1
+    for kind, start, letters, least in ((1, "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 20), (2, "", set("0123456789abcdef"), 24)):
+        i = 0
+        while i < n:
+            if text.startswith(start, i):
+                e = i + len(start)
+                while e < n and text[e] in letters:
+                    e += 1
+                if e > i + len(start):
+                    found += [(i, kind, e)] if e - i >= least else []
+                    i = e
+                    continue
+            i += 1
+    return sorted(found)
+
+
+def test_base_spans_equal_brute_force():
+    r = random.Random(8)
+    parts = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", "ſecret", "AKIA", "ABCD1234", "0a1b2c3d", "f" * 13, '"', "'", " ", "  ", ":", "=", "é", "x", "\n", "-_.", "abcdef"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 25)))
+        assert [x for x in secret_scan.find_spans(text) if x[1] < secret_scan.BASE] == brute_base(text), text
 
 
 def test_url_filters(spark):
@@ -168,6 +236,8 @@ def test_ledger_scans_each_blob_once(spark, tmp_path):
     secret_scan.scan_secrets(paths, ledger)
     assert ledger.read().count() == before == len({t or "" for _, t in CASES}) + 1
     assert secret_scan.scan_secrets(paths.limit(0), ledger).count() == 0
+    ledger.read().write.mode("append").parquet(f"{ledger.path}/rules={secret_scan.RULE_VERSION}")  # two scans at once
+    assert ledger.findings(paths).count() == len(first) and ledger.read().count() == before
 
 
 def test_language_model(spark):

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import materialize, salted_left_join, slices
 
 MIN_BYTES = 1000
+DATE = "1970-01-01T00:00:00Z"  # of records whose time of capture is not known
 FRAME_BYTES = 256 << 10  # of records before compression
 BUNDLE_BYTES = 8 << 20  # of compressed frames
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed values of the Zstandard seekable format
@@ -45,10 +46,10 @@ def with_refers(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return joined.select("page_id", "url", "html", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("top")), F.col("top")).alias("refers_to"))
 
 
-def record_bytes(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record_bytes(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, date: str = DATE) -> bytes:
     kind = "response" if refers_to is None else "revisit"
     head = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Target-URI: {' '.join(url.split())}",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {date}", f"WARC-Target-URI: {' '.join(url.split())}",
         f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {len(payload)}",
     ]
     if refers_to is not None:
@@ -123,8 +124,8 @@ def parse_record(record: bytes) -> dict:
     return {"page_id": number(fields["WARC-Record-ID"]), "url": fields["WARC-Target-URI"], "payload_bytes": size, "payload_digest": digest, "record_type": fields["WARC-Type"], "refers_to": number(fields.get("WARC-Refers-To", "")), "payload": body}
 
 
-def write_bundles(pages: DataFrame, min_bytes: int = MIN_BYTES, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
-    """The written table of bundles."""
+def write_bundles(pages: DataFrame, min_bytes: int = MIN_BYTES, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES, date: str = DATE) -> DataFrame:
+    """The written table of bundles. date: the time of capture, as WARC-Date has it."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -138,7 +139,7 @@ def write_bundles(pages: DataFrame, min_bytes: int = MIN_BYTES, frame_bytes: int
 
         for batch in slices(batches, "html", 4 << 20):
             for row in batch.to_pylist():
-                writer.add(record_bytes(row["page_id"], row["url"], row["html"].encode(), row["digest"], row["refers_to"]), row["page_id"])
+                writer.add(record_bytes(row["page_id"], row["url"], row["html"].encode(), row["digest"], row["refers_to"], date), row["page_id"])
                 if writer.packed >= bundle_bytes:
                     yield done()
                     made += 1

@@ -296,17 +296,33 @@ def test_contamination(spark):
     assert decontaminate.remove_contaminated(docs(spark, rows), bench.limit(0)).count() == len(rows)
 
 
-def test_pruning_loses_no_item():
+def test_pruning_loses_no_item(monkeypatch):
+    """Against BM25 computed from its definition, over words as text."""
+    import math
+
+    monkeypatch.setattr(decontaminate, "STEP", 50)
     r = random.Random(7)
-    items = [(i, " ".join(f"t{r.randint(0, 50)}" for _ in range(r.randint(3, 40)))) for i in range(60)]
-    index = decontaminate.ItemIndex(items)
-    texts = [" ".join(f"t{r.randint(0, 50)}" for _ in range(120)) for _ in range(20)]
-    got = {(d, i) for d, i, *_ in index.search(texts, 0.5, 0.0)}
-    for d, t in enumerate(texts):
-        words = decontaminate.hashed_words(t)
-        for i in range(len(items)):
-            best = max(index.weights[i][np.isin(index.vocab[index.terms[i]], words[a : a + 2 * index.span])].sum() for a in range(0, len(words), index.span))
-            assert ((d, i) in got) == (best >= 0.5 - 1e-9)
+    items = [" ".join(f"t{min(r.randint(0, 50), r.randint(0, 50))}" for _ in range(r.choice([1, 3, 10, 30, 60, 95]))) for _ in range(90)] + [" ".join(f"t{k % 51}" for k in range(400)), ""]
+    texts = [" ".join(f"t{r.randint(0, 50)}" for _ in range(n)) for n in [0, 1, 40, 95, 96, 97, 300, *[120] * 12]]
+    for threshold in (0.3, 0.5, 0.8):
+        index = decontaminate.ItemIndex(list(enumerate(items)), threshold)
+        got = {(d, i): s for d, i, s, *_ in index.search(texts, 0.0)}
+        pieces = [(i, x.split()[a : a + 96]) for i, x in enumerate(items) for a in range(0, len(x.split()), 96)]
+        found = {t: sum(t in p for _, p in pieces) for t in {t for _, p in pieces for t in p}}
+        average = sum(len(p) for _, p in pieces) / len(pieces)
+        span, want = max(len(p) for _, p in pieces), {}
+
+        def weight(t, p):
+            return math.log(1 + (len(pieces) - found[t] + 0.5) / (found[t] + 0.5)) * p.count(t) * 2.2 / (p.count(t) + 1.2 * (0.25 + 0.75 * len(p) / average))
+
+        for d, t in enumerate(texts):
+            for a in range(0, len(t.split()), span):
+                passage = set(t.split()[a : a + 2 * span])
+                for i, p in pieces:
+                    score = sum(weight(x, p) for x in set(p) & passage) / sum(weight(x, p) for x in set(p))
+                    if score >= threshold - 1e-9:
+                        want[d, i] = max(want.get((d, i), 0), min(score, 1.0))
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want) and want
 
 
 def test_token_ids_are_the_librarys():

@@ -1,25 +1,27 @@
 """Benchmark decontamination by a BM25 index of the test items.
 
 Each training text is cut into overlapping passages, and every passage queries the index for all items
-whose BM25 score reaches `threshold` of the item's score for itself. Block-max pruning runs for all
-passages of a batch at once, as array work: each term holds, per block of items, the highest weight
-it can add; frequent terms, whose postings are long, enter as a bound per block only; a
-(passage, block) whose bound stays under the threshold is never scored. What remains is scored
-exactly, and a hit is verified: of the item's question and of its answer (its last line or sentence),
-the share of five-word shingles that the text holds must reach `overlap`.
+whose BM25 score reaches `threshold` of the item's score for itself. The index is an inverted one with
+block maxima: for each term and block of items the highest weight that the term can add. WAND's pivot is
+taken for each block: with the block's terms in order, the commonest first, those before the pivot cannot reach
+half the threshold together, so only terms from there on open the block, and long postings are hardly
+ever walked. A (passage, block) whose bound, the maxima of the terms that opened it and what those before the pivot can add,
+stays under the threshold is dropped; in the others the passage's terms are looked up and scored exactly. This
+runs as array work for many passages at once, in steps of bounded size. A hit is verified: of the item's question
+and of its answer (its last line or sentence), the share of five-word shingles that the text holds must reach
+`overlap`.
 
 The index is broadcast in shards of bounded bytes, each scanned in turn, so any benchmark size works.
 
-Cases: null or empty texts and items without words never match; a null id is reported as null; repeated
+Cases: null or empty texts and items without words never match; a score equal to the threshold is a hit, and a text is
+reported once with each item, by its best passage; a null id is reported as null; repeated
 rows are reported each; very long items are indexed in pieces; empty tables give an empty result;
 other columns pass unchanged through remove_contaminated().
 """
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,7 +37,8 @@ THRESHOLD, OVERLAP, WIDTH = 0.5, 0.6, 5
 PIECE_WORDS = 96  # longer items are indexed in pieces
 BLOCK_ITEMS = 4
 SHARD_BYTES = 4 << 20
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 512 << 10
+STEP = 1 << 19  # postings that are opened, or looked up, at once
 HITS = "id long, item_id long, score double, question_overlap double, answer_overlap double"
 _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -68,6 +71,13 @@ def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     return mix(h)
 
 
+def _share(wanted: np.ndarray, held: np.ndarray) -> float:
+    """The share of wanted values among the sorted ones; 1 of none."""
+    if not len(wanted):
+        return 1.0
+    return float((held[np.minimum(np.searchsorted(held, wanted), len(held) - 1)] == wanted).mean()) if len(held) else 0.0
+
+
 def split_item(text: str) -> tuple[str, str]:
     """(question, answer): the answer is the last line, or the last sentence of a single line; a single sentence has no answer."""
     lines = [x for x in text.split("\n") if x.strip()]
@@ -79,55 +89,51 @@ def split_item(text: str) -> tuple[str, str]:
 
 @dataclass
 class ItemIndex:
-    """A shard of items. Pieces of items are numbered in order; blocks are runs of BLOCK_ITEMS pieces."""
+    """A shard of items. Pieces of items are numbered in order; blocks are runs of BLOCK_ITEMS pieces; a slot is a term in a block."""
 
     items: list[tuple[int, str]]
-    ids: list[int] = field(default_factory=list)  # of each piece, the item's number
+    threshold: float = THRESHOLD
     vocab: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
 
     def __post_init__(self) -> None:
-        self.words = [hashed_words(t or "") for _, t in self.items]
+        words = [hashed_words(t or "") for _, t in self.items]
         self.parts = [tuple(hashed_words(x) for x in split_item(t or "")) for _, t in self.items]
-        pieces: list[np.ndarray] = []
-        for k, w in enumerate(self.words):
-            for a in range(0, len(w), PIECE_WORDS):
-                pieces.append(w[a : a + PIECE_WORDS])
-                self.ids.append(k)
-        self.span = max((len(p) for p in pieces), default=1)
-        if not pieces:
+        flat = np.concatenate(words) if words else np.zeros(0, np.uint64)
+        self.span = 1
+        if not len(flat):
             return
-        self.vocab = np.unique(np.concatenate(pieces))
-        average = sum(map(len, pieces)) / len(pieces)
-        found = Counter(t for p in pieces for t in np.unique(p).tolist())
-        idf = np.array([math.log(1 + (len(pieces) - found[t] + 0.5) / (found[t] + 0.5)) for t in self.vocab.tolist()])
-        self.terms, self.weights = [], []
-        for p in pieces:
-            t, tf = np.unique(np.searchsorted(self.vocab, p), return_counts=True)
-            w = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(p) / average))
-            self.terms.append(t)
-            self.weights.append(w / w.sum())  # as a share of the item's own score
-        self.blocks = -(-len(pieces) // BLOCK_ITEMS)
-        flat = np.array([(int(a), i // BLOCK_ITEMS, i, w) for i, (t, ws) in enumerate(zip(self.terms, self.weights, strict=True)) for a, w in zip(t, ws, strict=True)])
-        flat = flat[np.lexsort((flat[:, 2], flat[:, 1], flat[:, 0]))]
-        self.item, self.weight = flat[:, 2].astype(np.int64), flat[:, 3]
-        self.slot, at = np.unique(flat[:, 0].astype(np.int64) * self.blocks + flat[:, 1].astype(np.int64), return_index=True)
-        self.posts = np.append(at, len(flat))  # postings of a term in a block: posts[k] to posts[k + 1]
-        best: dict[tuple[int, int], float] = {}
-        for i, (t, w) in enumerate(zip(self.terms, self.weights, strict=True)):
-            for a, b in zip(t.tolist(), w.tolist(), strict=True):
-                key = (a, i // BLOCK_ITEMS)
-                best[key] = max(best.get(key, 0.0), b)
-        per_term = np.bincount([a for a, _ in best], minlength=len(self.vocab))
-        frequent = per_term > max(8, self.blocks // 4)
-        self.rest = np.zeros(self.blocks)  # what frequent terms can add in a block at most
-        for i, (t, w) in enumerate(zip(self.terms, self.weights, strict=True)):
-            self.rest[i // BLOCK_ITEMS] = max(self.rest[i // BLOCK_ITEMS], w[frequent[t]].sum())
-        rare = sorted((a, b, w) for (a, b), w in best.items() if not frequent[a])
-        self.begin = np.searchsorted([a for a, _, _ in rare], np.arange(len(self.vocab) + 1))
-        self.block = np.array([b for _, b, _ in rare], np.int64)
-        self.most = np.array([w for _, _, w in rare])
-
-    def hits(self, words: np.ndarray, first: np.ndarray, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
+        counts = np.array([len(w) for w in words])
+        pieces = -(-counts // PIECE_WORDS)
+        base = np.cumsum(pieces) - pieces
+        self.ids = np.repeat(np.arange(len(words)), pieces)  # of each piece, the item's number
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+        piece = np.repeat(base, counts) + place // PIECE_WORDS
+        size = np.bincount(piece)
+        self.span = int(size.max())
+        self.vocab, term = np.unique(flat, return_inverse=True)
+        n, self.blocks = len(size), -(-len(size) // BLOCK_ITEMS)
+        key, tf = np.unique(term * n + piece, return_counts=True)  # postings by term, then piece
+        term, self.item = np.divmod(key, n)
+        found = np.bincount(term)
+        idf = np.log(1 + (n - found + 0.5) / (found + 0.5))
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.item] / size.mean()))
+        self.weight = weight / np.bincount(self.item, weight)[self.item]  # as a share of the piece's own score
+        self.slot, at = np.unique(term * self.blocks + self.item // BLOCK_ITEMS, return_index=True)
+        self.posts = np.append(at, len(key))  # postings of a slot: posts[k] to posts[k + 1]
+        most = np.maximum.reduceat(self.weight, at)
+        own, block = np.divmod(self.slot, self.blocks)
+        common = np.bincount(own)
+        order = np.lexsort((own, -common[own], block))
+        so_far = np.cumsum(most[order])
+        starts = np.searchsorted(block[order], np.arange(self.blocks))
+        so_far -= (so_far[starts] - most[order][starts])[block[order]]
+        opens = np.empty(len(own), bool)
+        opens[order] = so_far > self.threshold / 2
+        self.rest = np.bincount(block[~opens], most[~opens], minlength=self.blocks)  # what terms before the pivot can add
+        self.begin = np.searchsorted(own[opens], np.arange(len(self.vocab) + 1))
+        self.block, self.most = block[opens], most[opens]
+
+    def hits(self, words: np.ndarray, first: np.ndarray, overlap: float) -> list[tuple[int, int, float, float, float]]:
         """(text, item, score, question overlap, answer overlap) of texts whose word hashes stand one after another."""
         if not len(self.vocab) or not len(words):
             return []
@@ -139,71 +145,83 @@ class ItemIndex:
         base = np.concatenate([[0], np.cumsum(windows)])
         place = (at - first[text]) // self.span
         window = base[text] + place  # a passage is two spans long: words of span k are in passages k and k - 1
-        key = np.concatenate([window, window[place > 0] - 1]) * len(self.vocab) + np.concatenate([term, term[place > 0]])
-        key = sorted_unique(key)
+        key = sorted_unique(np.concatenate([window, window[place > 0] - 1]) * len(self.vocab) + np.concatenate([term, term[place > 0]]))
         window, term = np.divmod(key, len(self.vocab))
         n = self.begin[term + 1] - self.begin[term]
-        some = n > 0
-        post = np.repeat(self.begin[term[some]] - np.cumsum(n[some]) + n[some], n[some]) + np.arange(n.sum())
-        pair, where = np.unique(np.repeat(window[some], n[some]) * self.blocks + self.block[post], return_inverse=True)
-        bound = np.bincount(where, self.most[post], minlength=len(pair))
-        w, b = np.divmod(pair, self.blocks)
-        likely = bound + self.rest[b] >= threshold - 1e-9
+        ends = np.flatnonzero(np.append(window[1:] != window[:-1], True)) + 1  # passages whole
+        work = np.cumsum(n)
         out: dict[tuple[int, int], float] = {}
-        if (self.rest >= threshold).any():  # rare: frequent terms alone can reach it, so these blocks are scored for every passage
-            alone = np.flatnonzero(self.rest >= threshold)
-            w, b = np.concatenate([w[likely], np.repeat(np.unique(window), len(alone))]), np.concatenate([b[likely], np.tile(alone, len(np.unique(window)))])
-        else:
-            w, b = w[likely], b[likely]
-        # exact scores of the items of those blocks
-        begin = np.searchsorted(window, w)
-        n = np.searchsorted(window, w, "right") - begin
-        pair = np.repeat(np.arange(len(w)), n)
-        have = term[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        slot = have * self.blocks + b[pair]
-        seek = np.minimum(np.searchsorted(self.slot, slot), len(self.slot) - 1)
-        known = self.slot[seek] == slot
-        pair, seek = pair[known], seek[known]
-        n = self.posts[seek + 1] - self.posts[seek]
-        post = np.repeat(self.posts[seek] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        cell = np.repeat(pair, n) * BLOCK_ITEMS + self.item[post] % BLOCK_ITEMS
-        score = np.bincount(cell, self.weight[post], minlength=len(w) * BLOCK_ITEMS)
-        for c in np.flatnonzero(score >= threshold - 1e-9).tolist():
-            x, i = divmod(c, BLOCK_ITEMS)
-            key = (int(np.searchsorted(base, w[x], "right")) - 1, self.ids[int(b[x]) * BLOCK_ITEMS + i])
-            out[key] = max(out.get(key, 0.0), float(score[c]))
-        sure = []
+        a = 0
+        while a < len(window):
+            done = work[a - 1] if a else 0
+            k = int(np.searchsorted(work[ends - 1], done + STEP, "right"))
+            b = int(ends[max(k - 1, int(np.searchsorted(ends, a, "right")))])
+            self._score(window[a:b], term[a:b], n[a:b], base, out)
+            a = b
+        sure, last, held = [], -1, {}
         for (d, i), score in sorted(out.items()):
-            own = words[first[d] : first[d + 1]]
-            q, a = (1.0 if not len(x) else float(np.isin(shingles(x), shingles(own, min(WIDTH, len(x)))).mean()) for x in self.parts[i])
-            if q >= overlap and a >= overlap:
-                sure.append((d, i, min(score, 1.0), q, a))
+            if d != last:
+                last, held = d, {}
+            for p in self.parts[i]:
+                if min(WIDTH, len(p)) not in held:
+                    held[min(WIDTH, len(p))] = sorted_unique(shingles(words[first[d] : first[d + 1]], min(WIDTH, len(p))))
+            q, x = (_share(shingles(p), held[min(WIDTH, len(p))]) for p in self.parts[i])
+            if q >= overlap and x >= overlap:
+                sure.append((d, i, min(score, 1.0), q, x))
         return sure
 
-    def search(self, texts: list[str], threshold: float = THRESHOLD, overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
+    def _score(self, window: np.ndarray, term: np.ndarray, n: np.ndarray, base: np.ndarray, out: dict[tuple[int, int], float]) -> None:
+        """Adds the items that reach the threshold in these passages, given as their distinct terms."""
+        post = np.repeat(self.begin[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        pair, where = np.unique(np.repeat(window, n) * self.blocks + self.block[post], return_inverse=True)
+        bound = np.bincount(where, self.most[post], minlength=len(pair))
+        likely = pair[bound + self.rest[pair % self.blocks] >= self.threshold - 1e-9]
+        begin = np.searchsorted(window, likely // self.blocks)
+        size = np.searchsorted(window, likely // self.blocks, "right") - begin
+        at = 0
+        for stop in [*np.flatnonzero(np.diff(np.cumsum(size) // STEP)).tolist(), len(likely) - 1] if len(likely) else []:
+            some = slice(at, stop + 1)
+            at = stop + 1
+            w, b = np.divmod(likely[some], self.blocks)
+            m = size[some]
+            which = np.repeat(np.arange(len(w)), m)
+            slot = term[np.repeat(begin[some] - np.cumsum(m) + m, m) + np.arange(m.sum())] * self.blocks + b[which]
+            seek = np.minimum(np.searchsorted(self.slot, slot), len(self.slot) - 1)
+            known = self.slot[seek] == slot
+            which, seek = which[known], seek[known]
+            c = self.posts[seek + 1] - self.posts[seek]
+            post = np.repeat(self.posts[seek] - np.cumsum(c) + c, c) + np.arange(c.sum())
+            cell = np.repeat(which, c) * BLOCK_ITEMS + self.item[post] % BLOCK_ITEMS
+            score = np.bincount(cell, self.weight[post], minlength=len(w) * BLOCK_ITEMS)
+            for x in np.flatnonzero(score >= self.threshold - 1e-9).tolist():
+                k, i = divmod(x, BLOCK_ITEMS)
+                key = (int(np.searchsorted(base, w[k], "right")) - 1, int(self.ids[int(b[k]) * BLOCK_ITEMS + i]))
+                out[key] = max(out.get(key, 0.0), float(score[x]))
+
+    def search(self, texts: list[str], overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
         low = pa.array([t.lower() for t in texts], pa.large_string())
-        return self.hits(*plain_words(*utf8(low)), threshold, overlap)
+        return self.hits(*plain_words(*utf8(low)), overlap)
 
 
-def index_shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> Iterator[ItemIndex]:
+def index_shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES, threshold: float = THRESHOLD) -> Iterator[ItemIndex]:
     """The index of benchmark(item_id, text), a shard of bounded bytes at a time."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-int(total) // shard_bytes))
     for k in range(shards):
         own = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k) if shards > 1 else rows
-        yield ItemIndex(sorted(((r.item_id, r.text) for r in own.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1])))
+        yield ItemIndex(sorted(((r.item_id, r.text) for r in own.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1])), threshold)
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """docs(id, text) x benchmark(item_id, text) -> one row a text and item it contains."""
     spark, out = docs.sparkSession, None
-    for index in index_shards(benchmark, shard_bytes):
+    for index in index_shards(benchmark, shard_bytes, threshold):
         shared = spark.sparkContext.broadcast(index)
 
         def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text", CHUNK_BYTES):
-                found = shared.value.search(texts_of(batch.column("text")).to_pylist(), threshold, overlap)
+                found = shared.value.search(texts_of(batch.column("text")).to_pylist(), overlap)
                 ids = batch.column("id").to_pylist()
                 cols = list(zip(*[(ids[d], shared.value.items[i][0], s, q, a) for d, i, s, q, a in found])) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 2 + [pa.float64()] * 3, strict=True)], names=["id", "item_id", "score", "question_overlap", "answer_overlap"])
@@ -215,13 +233,13 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, threshold: float =
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """docs without the texts that contain a test item, all columns as they are; one narrow pass a shard."""
-    for index in index_shards(benchmark):
+    for index in index_shards(benchmark, threshold=threshold):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, text_col, CHUNK_BYTES):
                 keep = np.ones(batch.num_rows, bool)
-                keep[[d for d, *_ in shared.value.search(texts_of(batch.column(text_col)).to_pylist(), threshold, overlap)]] = False
+                keep[[d for d, *_ in shared.value.search(texts_of(batch.column(text_col)).to_pylist(), overlap)]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(clean, docs.schema)

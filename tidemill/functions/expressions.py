@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -119,3 +121,23 @@ def last_distinct(values: Column, n: int) -> Column:
     """The last n of the distinct values, in order of first appearance."""
     seen = F.array_compact(F.array_distinct(values))
     return F.slice(seen, F.greatest(F.size(seen) - n + 1, F.lit(1)), n)
+
+
+def snake(name: str) -> str:
+    return re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", name).lower()
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def top_k_elements(values: Column, k: int = 3) -> Column:
+    """The k most frequent elements of an array, ties by first appearance; nulls are left out, null and empty give an empty array."""
+
+    def ranked(v: Column) -> Column:
+        kinds = F.array_distinct(v)
+        by_count = F.array_sort(F.transform(kinds, lambda x, i: F.struct((-F.size(F.filter(v, lambda y: y == x))).alias("n"), i.alias("i"), x.alias("x"))))
+        return F.slice(F.transform(by_count, lambda r: r["x"]), 1, k)
+
+    return let(F.array_compact(F.coalesce(values, F.array().cast("array<string>"))), ranked)

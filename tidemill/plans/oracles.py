@@ -164,6 +164,16 @@ SELECT * FROM recent_categories_viewed JOIN recent_tags_interacted USING (user_i
     "experience_features": f"""WITH {FB}, {EX}, a AS (SELECT *, eid % 5 AS m FROM fb WHERE {WEEK} AND ts < TIMESTAMP '2024-01-31')
 SELECT a.experience_id, count(*) FILTER (m = 0) AS exp_views_7d, count(*) FILTER (m IN (3, 4)) AS exp_actions_7d, round(avg(CASE m WHEN 0 THEN 0.2 WHEN 1 THEN 0.4 WHEN 2 THEN 0.6 WHEN 3 THEN 0.8 ELSE 1.0 END), 6) AS exp_avg_engagement_7d, any_value(e.city) AS exp_city,
   any_value({PRICE.replace("price", "e.price")}) AS exp_price_tier, true AS is_valid, (epoch_us(TIMESTAMP '2024-01-30') // 1000) AS event_timestamp FROM a LEFT JOIN ex e ON e.id = a.experience_id GROUP BY a.experience_id""",
+    "message_routing": """SELECT 'experience.events' AS topic, CAST(p_partkey AS BIGINT) AS "offset", 'experience' AS kind, CASE WHEN p_partkey % 17 = 0 THEN 'missing experience_id/id in experience' END AS error_reason, CAST(CASE WHEN p_partkey % 17 = 0 THEN 8 ELSE 9 END AS INTEGER) AS n_fields FROM part
+UNION ALL SELECT 'user.profile.events', c_custkey, 'profile', NULL, CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE 1 END FROM customer
+UNION ALL SELECT 'location.streams', event_id, 'all', CASE WHEN event_id % 25 = 0 THEN 'missing latitude/longitude in location' WHEN event_id % 110 > 90 THEN 'invalid latitude or longitude' END, CASE WHEN event_id % 25 = 0 THEN 2 ELSE 3 END FROM events WHERE event_id % 5 = 0
+UNION ALL SELECT 'recommendation.feedback.v1', event_id, 'all', CASE WHEN event_id % 7 = 1 THEN 'missing user_id in feedback' WHEN event_id % 11 = 0 THEN 'missing event_id in feedback' END, CASE WHEN event_id % 11 = 0 THEN 3 ELSE 4 END FROM events WHERE event_id % 5 <> 0""",
+    "message_payloads": f"""WITH {EX} SELECT id, name, round(price, 6) AS price_amount, city AS event_location_city, round(lat, 6) AS event_location_latitude, category_id, category_name, replace(name, ' ', '|') AS tags, CAST(NULL AS VARCHAR) AS description
+FROM ex WHERE CAST(id AS BIGINT) % 17 <> 0 AND CAST(id AS BIGINT) % 3 <> 0""",
+    "message_feedback": "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS experience_id, CAST(event_id % 9 AS BIGINT) AS view_data_dwell_time_ms FROM events WHERE event_id % 5 <> 0 AND event_id % 7 <> 1 AND event_id % 11 <> 0",
+    "mixed_rows": f"WITH {PF}, {EX} SELECT id, CAST(score AS VARCHAR) AS said FROM pf UNION ALL SELECT id, category_name FROM ex",
+    "top_elements": f"""WITH {FB}, n AS (SELECT user_id, 'EVENT_TYPE_' || kind AS t, count(*) AS c, min(eid) AS f FROM fb GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY c DESC, f) AS rn FROM n)
+SELECT user_id, string_agg(t, '|' ORDER BY rn) AS top_types FROM r WHERE rn <= 2 GROUP BY user_id""",
     "online_upsert_diff": f"WITH {PF} SELECT 'u:' || id AS key, city, CAST(score AS VARCHAR) AS score FROM pf WHERE CAST(id AS BIGINT) % 5 = 0 AND score IS DISTINCT FROM -1",
     "position_features": f"WITH {FB} SELECT event_id, position, round(position / 50.0::DOUBLE, 6) AS position_normalized, CAST(position <= 3 AS INTEGER) AS is_top_3, CAST(position <= 10 AS INTEGER) AS is_top_10, CAST(position <= 20 AS INTEGER) AS is_top_20, position <= 10 AS is_first_page, CASE WHEN position <= 3 THEN 'top_3' WHEN position <= 10 THEN 'top_10' WHEN position <= 20 THEN 'top_20' ELSE 'below_20' END AS position_bucket FROM fb",
     "cross_features": f"WITH {FB}, {EX}, {PF}, d AS (SELECT DISTINCT user_id, experience_id FROM fb) SELECT d.user_id, d.experience_id, round({KM}, 3) AS cross_distance_km, {BUCKET} AS cross_distance_bucket, coalesce(lower(trim(u.city)) = lower(trim(e.city)), false) AS cross_same_city FROM d {_WHO.format('d')}",

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expressions import epoch_ms, position_features
+from ..functions.expressions import epoch_ms, position_features, top_k_elements
 from ..operators import asof, features, quality, training
 from ..sources import adapters as src
 from ..sources.envelope import message_id
-from ..sources.lake import EventLake, write_events
+from ..sources.lake import EventLake, catalog_rows, profile_rows, write_events
 from ..sources.stores import as_entries, changed
 from ..streaming import features as stream
+from ..streaming import routing
 
 D = date(2024, 1, 30)
 NOW = "2024-01-31 00:00:00"
@@ -287,9 +288,39 @@ def online_upsert_diff(s, d):
     return changed(as_entries(rows, "user_id", "u"), as_entries(old, "user_id", "u")).select("key", F.col("value")["city"].alias("city"), F.col("value")["score"].alias("score"))
 
 
+def message_routing(s, d):
+    return routing.process(src.app_messages(s, d)).select("topic", "offset", "kind", "error_reason", F.size("fields").alias("n_fields"))
+
+
+def message_payloads(s, d):
+    sound = routing.payloads(routing.process(src.app_messages(s, d)), "experience.v1.ExperienceCreated")
+    return flat(sound.select("id", "name", "price_amount", "event_location_city", "event_location_latitude", "category_id", "category_name", F.transform("tags", lambda t: t["name"]).alias("tags"), "description"))
+
+
+def message_feedback(s, d):
+    rows = routing.payloads(routing.process(src.app_messages(s, d)), "feed.v1.RecommendationFeedback")
+    return rows.select("event_id", "user_id", "experience_id", "view_data_dwell_time_ms")
+
+
+def mixed_rows(s, d):
+    """Profiles and experiences taken out of one frame of events of all types."""
+    people = src.profiles(s, d).select("id", "social_score", F.when(F.col("id").cast("int") % 2 == 0, "user.v1.UserProfileCreated").alias("_event_type"), F.lit("user_profile_events").alias("partition_event_type"))
+    items = src.experiences(s, d).select("id", "category_name", F.lit("experience.v1.ExperienceCreated").alias("_event_type"), F.lit("other").alias("partition_event_type"))
+    acts = src.feedback(s, d).select(F.col("event_id").alias("id"), F.lit("feed.v1.RecommendationFeedback").alias("_event_type"), "partition_event_type")
+    events = people.unionByName(items, allowMissingColumns=True).unionByName(acts, allowMissingColumns=True)
+    return profile_rows(events).select("id", F.col("social_score").cast("string").alias("said")).unionByName(catalog_rows(events).select("id", F.col("category_name").alias("said")))
+
+
+def top_elements(s, d):
+    f = src.feedback(s, d)
+    order = F.array_sort(F.collect_list(F.struct(F.col("event_id").cast("bigint").alias("n"), "event_type")))
+    return flat(f.groupBy("user_id").agg(top_k_elements(F.transform(order, lambda r: r["event_type"]), 2).alias("top_types")))
+
+
 QUERIES = {f.__name__: f for f in (
     user_engagement_raw, user_engagement_smoothed, experience_engagement_raw, experience_engagement_smoothed, session_features, user_top_categories, latest_profile, latest_content, user_features_full,
     user_profile, experience_profile, experience_features, merged_user_features, merged_experience_features, training_positives, training_negatives, two_tower, served_exploded, ranking_labels, label_distribution,
     ranking_context, ranking_training, pit_join, dq_null_rates, dq_numeric_range, dq_duplicates, dq_timestamp_validity, dq_split_valid, dq_flags, dq_validity_rate, dq_skew, dq_freshness, dq_input_report,
     dq_output, event_validator, message_dedup, schema_union, lake_roundtrip, partition_listing, latest_partition, stream_tumbling_features, stream_session_features, stream_realtime_user, online_upsert_diff,
+    message_routing, message_payloads, message_feedback, mixed_rows, top_elements,
 )} | {"position_features": position, "cross_features": cross}

@@ -66,3 +66,27 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     body = F.to_json(F.struct(F.lit("engagement.v1").alias("_event_type"), ms.cast("string").alias("_timestamp"), F.col("user_id").cast("string").alias("user_id"), F.col("event_type"), ms.cast("string").alias("timestamp"), (k % 90).cast("double").alias("latitude"), (k % 180).cast("double").alias("longitude"), F.concat(F.lit("cat"), (k % 7).cast("string")).alias("category_name"), F.array(F.concat(F.lit("t"), (k % 13).cast("string"))).alias("tags"), k.cast("string").alias("experience_id")))
     return e.select(body.alias("value"), F.lit("events.raw").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"))
+
+
+def app_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog, profile, location and feedback messages (value, topic, partition, offset), some with faults; accounts, which are skipped."""
+    p, c, e, s = (table(spark, sf_dir, n) for n in ("part", "customer", "events", "supplier"))
+    text = lambda *cols: F.to_json(F.struct(*cols))
+    k, u, n = F.col("p_partkey"), F.col("c_custkey"), F.col("event_id")
+    place = F.struct(F.concat(F.lit("C"), (k % 25).cast("string")).alias("city"), F.struct(((k % 1800) / 10 - 90).alias("latitude"), ((k % 3600) / 10 - 180).alias("longitude")).alias("coordinate"), F.lit("x").alias("street"))
+    items = text(
+        F.when(k % 3 != 0, F.lit("experience.v1.ExperienceCreated")).alias("_event_type"), F.when(k % 17 != 0, k.cast("string")).alias("id"), F.col("p_name").alias("name"), F.col("p_retailprice").alias("priceAmount"), F.lit("secret").alias("internalNote"), place.alias("eventLocation"),
+        F.transform(F.split("p_name", " "), lambda t: F.struct(t.alias("id"), t.alias("name"), F.lit(1).alias("rank"))).alias("tags"), F.struct(F.col("p_brand").alias("id"), F.col("p_type").alias("name")).alias("category"),
+    )
+    people = text(F.lit("user.v1.UserProfileUpdated").alias("_event_type"), F.when(u % 7 != 0, u.cast("string")).alias("id"), F.lit("secret").alias("phone"), F.array().cast("array<string>").alias("interests"))
+    places = text(F.col("user_id").cast("string").alias("user_id"), F.when(n % 25 != 0, n % 110).alias("latitude"), F.lit(7.5).alias("longitude"))
+    acts = text(F.lit("feed.v1.RecommendationFeedback").alias("_event_type"), F.when(n % 7 == 1, "").otherwise(F.col("user_id").cast("string")).alias("user_id"), F.when(n % 11 != 0, n.cast("string")).alias("event_id"), F.lit("t").alias("_trace_id"), F.struct((n % 9).alias("dwell_time_ms")).alias("view_data"))
+    message = lambda df, value, topic, offset: df.select(value.alias("value"), F.lit(topic).alias("topic"), F.lit(0).alias("partition"), offset.cast("bigint").alias("offset"))
+    parts = [
+        message(p, items, "experience.events", k), message(c, people, "user.profile.events", u), message(e.filter(n % 5 == 0), places, "location.streams", n), message(e.filter(n % 5 != 0), acts, "recommendation.feedback.v1", n),
+        message(s, F.lit("{}"), "user.account.events", F.col("s_suppkey")),
+    ]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out

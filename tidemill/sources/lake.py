@@ -19,12 +19,19 @@ def partition_date() -> Column:
     return F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
 
 
-def write_events(events: DataFrame, root: str, ts: str = "event_timestamp", mode: str = "append", max_records: int = 10_000, compression: str = "snappy") -> None:
-    """Archives rows by their own type and event time; rows without time go to year 1970."""
+def write_events(events: DataFrame, root: str, ts: str = "event_timestamp", mode: str = "append", max_records: int = 10_000, compression: str = "snappy", batch: int | None = None) -> None:
+    """Archives rows by their own type and event time; rows without time go to year 1970.
+
+    batch: a further partition; mode overwrite then replaces that batch's rows alone.
+    """
     t = F.coalesce(F.col(ts), F.lit("1970-01-01 00:00:00").cast(events.schema[ts].dataType))
     parts = {"year": F.year(t), "month": F.date_format(t, "MM"), "day": F.date_format(t, "dd"), "hour": F.date_format(t, "HH")}
     writer = events.withColumns(parts).write.mode(mode).option("maxRecordsPerFile", max_records).option("compression", compression)
-    writer.partitionBy(*PARTS).parquet(root)
+    if batch is None:
+        writer.partitionBy(*PARTS).parquet(root)
+    else:
+        tagged = events.withColumns(parts | {"_batch_id": F.lit(batch)}).write.mode(mode).option("maxRecordsPerFile", max_records).option("compression", compression)
+        tagged.option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS, "_batch_id").parquet(root)
 
 
 class EventLake:
@@ -33,7 +40,7 @@ class EventLake:
 
     def _all(self) -> DataFrame | None:
         try:
-            return self.spark.read.option("basePath", self.root).option("mergeSchema", True).parquet(self.root)
+            return self.spark.read.option("basePath", self.root).option("mergeSchema", True).parquet(self.root).drop("_batch_id")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e):
                 return None
@@ -140,3 +147,19 @@ def with_event_time(df: DataFrame) -> DataFrame:
     order = ["_timestamp", "clientTimestamp", "client_timestamp", "createdAt", "created_at", "servedAt", "served_at", "timestamp", "processed_at"]
     parts = [parse_time(F.col(c)) for c in order if c in df.columns]
     return df.withColumn("event_timestamp", (F.coalesce(*parts) if parts else F.lit(None)).cast("timestamp_ntz"))
+
+
+def _mixed(events: DataFrame, part_of_name: str, partition: str, table: str) -> DataFrame:
+    by_type = F.col("_event_type").contains(part_of_name) if "_event_type" in events.columns else F.lit(False)
+    by_partition = (F.col("partition_event_type") == partition) if "partition_event_type" in events.columns else F.lit(False)
+    return conform(events.filter(F.coalesce(by_type, F.lit(False)) | F.coalesce(by_partition, F.lit(False))), table)
+
+
+def profile_rows(events: DataFrame) -> DataFrame:
+    """The user profiles among events of all types, by their type's name or their partition."""
+    return _mixed(events, "UserProfile", "user_profile_events", "user_profile")
+
+
+def catalog_rows(events: DataFrame) -> DataFrame:
+    """The experiences among events of all types, by their type's name or their partition."""
+    return _mixed(events, "Experience", "experience_events", "experience")

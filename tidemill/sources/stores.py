@@ -21,10 +21,10 @@ def prepare_offline(df: DataFrame, legacy_format: bool = False) -> DataFrame:
     return out.withColumns({f.name: F.concat_ws(",", f.name) for f in df.schema if isinstance(f.dataType, T.ArrayType)})
 
 
-def write_offline(df: DataFrame, path: str, on: date, legacy_format: bool = False) -> None:
-    """Replaces the rows of one date and leaves other dates alone, so a rerun changes nothing."""
+def write_offline(df: DataFrame, path: str, on: date, legacy_format: bool = False, replace_all: bool = False) -> None:
+    """Replaces the rows of one date and leaves other dates alone, so a rerun changes nothing. replace_all: the other dates go."""
     out = prepare_offline(df, legacy_format).withColumn("date", F.lit(on))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic").partitionBy("date").parquet(path)
 
 
 def write_training_set(df: DataFrame, base: str, model: str, on: date) -> None:
@@ -90,6 +90,26 @@ class TableStore:
         gone = keys.select("key", F.lit(None).cast("map<string,string>").alias("value"), F.lit(None).cast("string").alias("digest"))
         self.upsert(gone, version, 0, only_changed=False)
 
+    def compact(self) -> None:
+        """The newest version of each key (deleted and expired ones too, so that none comes back) in one batch; older batches go.
+
+        One writer at a time. If it is cut short, what is left twice is the same version of the same key.
+        """
+        rows = self._versions()
+        last = rows.agg(F.max("version")).first()[0]
+        if last is None:
+            return
+        newest = rows.groupBy("key").agg(F.max_by(F.struct("value", "digest", "expires_at", "version"), "version").alias("x")).select("key", "x.*")
+        done = -1 - last
+        old = [r[0] for r in rows.select("batch").distinct().collect() if r[0] != done]  # batches, not keys
+        if not old:
+            return
+        newest.withColumn("batch", F.lit(done).cast("bigint")).write.mode("append").partitionBy("batch").parquet(self.path)
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for b in old:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={b}")
+            folder.getFileSystem(conf).delete(folder, True)
+
     def get(self, key: str) -> dict[str, str] | None:
         row = self.current().filter(F.col("key") == key).first()
         return dict(row.value) if row else None

@@ -30,9 +30,11 @@ def event_time(df: DataFrame) -> Column:
 
 
 def user_of(df: DataFrame) -> Column:
-    has = lambda c: F.when(F.trim(F.col(c)) != "", F.col(c)) if c in df.columns else F.lit(None).cast("string")
-    own = F.when(F.col("_event_type").contains("user") | F.col("_event_type").contains("User"), has("id"))
-    return F.coalesce(has("userId"), has("user_id"), own)
+    has = lambda c: F.when(F.trim(F.col(c)) != "", F.col(c)) if c.strip("`") in df.columns else F.lit(None).cast("string")
+    own = F.when(F.col("_event_type").startswith("user.") | F.col("_event_type").contains("AccountCreated"), has("id"))
+    # last resort: fields that carry only their tag's number, or an id that looks like a user's
+    guess = [F.when(has(c).startswith("user") | (F.length(has(c)) >= 20), has(c)) for c in ("`2`", "`1`", "id") if c.strip("`") in df.columns]
+    return F.coalesce(has("userId"), has("user_id"), own, *guess)
 
 
 def parse_events(messages: DataFrame) -> DataFrame:
@@ -137,10 +139,11 @@ def start(features: DataFrame, write: Callable[[DataFrame, int], None], checkpoi
 
 
 def archive(events: DataFrame, root: str, checkpoint: str, once: bool = False, every: str = "60 seconds"):
-    """The event lake as a streaming sink, partitioned by type and event time of each row; offsets commit after files."""
+    """The event lake as a streaming sink, partitioned by type and event time of each row, then by batch: a batch that is
+    replayed replaces its own files. The root belongs to this stream alone, as its folders go one level deeper."""
     from ..sources.lake import write_events
 
-    writer = events.writeStream.foreachBatch(lambda df, _: write_events(df, root)).option("checkpointLocation", checkpoint)
+    writer = events.writeStream.foreachBatch(lambda df, n: write_events(df, root, mode="overwrite", batch=n)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 

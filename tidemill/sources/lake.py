@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+import json
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,48 +39,69 @@ class EventLake:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root
 
-    def _all(self) -> DataFrame | None:
+    def _open(self, paths: list[str], merge: bool = True) -> DataFrame | None:
         try:
-            return self.spark.read.option("basePath", self.root).option("mergeSchema", True).parquet(self.root).drop("_batch_id")
+            return self.spark.read.option("basePath", self.root).option("mergeSchema", merge).parquet(*paths).drop("_batch_id")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e):
                 return None
             raise
 
+    def _folders(self, start: date, end: date, types: list[str] | None) -> list[str]:
+        """The folders of the days asked for, so that no footer outside them is read. One listing a month."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        kinds = "{" + ",".join(types) + "}" if types else "*"
+        months: dict[tuple[int, int], list[int]] = {}
+        for n in range((end - start).days + 1):
+            d = start + timedelta(days=n)
+            months.setdefault((d.year, d.month), []).append(d.day)
+        either = lambda n: f"{n:02d},{n}"
+        found = []
+        for (y, m), days in months.items():
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/partition_event_type={kinds}/year={y}/month={{{either(m)}}}/day={{{','.join(map(either, days))}}}")
+            found += [x.getPath().toString() for x in path.getFileSystem(conf).globStatus(path) or []]
+        return sorted(found)
+
     def read(self, start: date, end: date, event_types: list[str] | None = None, table: str = "feedback") -> DataFrame:
         """Events of inclusive dates, conformed; an empty frame when there is nothing."""
+        paths = self._folders(start, end, [PARTITION_NAMES.get(t, t) for t in event_types] if event_types else None)
         try:
-            df = self._all()
-            if df is not None:
-                df.schema  # merging happens here
+            df = self._open(paths) if paths else None  # merging happens here
         except Exception as e:
             if not any(x in str(e) for x in ("MERGE", "INCOMPATIBLE", "merge")):
                 raise
-            df = self.read_conflicting()
+            df = self.read_conflicting(paths)
         if df is None:
             return self.spark.createDataFrame([], conform_schema(table))
-        if event_types:
-            df = df.filter(F.col("partition_event_type").isin([PARTITION_NAMES.get(t, t) for t in event_types]))
-        df = df.filter(partition_date().between(F.lit(start), F.lit(end)))
         return conform(df, table, keep_rest=True)
 
-    def read_conflicting(self) -> DataFrame | None:
-        """Files whose schemas do not merge: one read for each schema, conflicting columns as JSON, united by name."""
-        files = [r[0] for r in self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(self.root).select("path").collect()]
-        by_schema: dict[str, list[str]] = {}
-        for f in sorted(files):  # one footer a file; the listing is of files, not of rows
-            by_schema.setdefault(self.spark.read.parquet(f).schema.json(), []).append(f)
-        if not by_schema:
-            return None
+    def _schemas(self, paths: list[str]) -> dict[str, list[str]]:
+        """Paths by schema: a day's folder whole where its files agree, else its files one by one."""
+        out: dict[str, list[str]] = {}
+        for path in paths:  # days and files, not rows
+            try:
+                df = self._open([path])
+            except Exception:
+                if path.endswith(".parquet"):
+                    raise
+                for schema, files in self._schemas([f for f in list_files(self.spark, path) if f.endswith(".parquet")]).items():
+                    out.setdefault(schema, []).extend(files)
+                continue
+            if df is not None:
+                out.setdefault(df.schema.json(), []).append(path)
+        return out
+
+    def read_conflicting(self, paths: list[str]) -> DataFrame | None:
+        """Folders whose schemas do not merge: one read for each schema, conflicting columns as JSON, united by name."""
+        by_schema = {T.StructType.fromJson(json.loads(s)): p for s, p in self._schemas(paths).items()}
         kinds: dict[str, set[str]] = {}
-        schemas = {s: T.StructType.fromJson(__import__("json").loads(s)) for s in by_schema}
-        for s in schemas.values():
-            for field in s:
+        for schema in by_schema:
+            for field in schema:
                 kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
         out = None
-        for s, paths in by_schema.items():
-            df = self.spark.read.option("basePath", self.root).schema(schemas[s]).parquet(*paths)
-            for field in schemas[s]:
+        for schema, own in by_schema.items():
+            df = self.spark.read.option("basePath", self.root).schema(schema).parquet(*own).drop("_batch_id")
+            for field in schema:
                 if len(kinds[field.name]) > 1:
                     nested = isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType))
                     df = df.withColumn(field.name, F.to_json(field.name) if nested else F.col(field.name).cast("string"))
@@ -87,7 +109,7 @@ class EventLake:
         return out
 
     def partitions(self, event_type: str | None = None) -> DataFrame:
-        df = self._all()
+        df = self._open([self.root], merge=False)
         if df is None:
             return self.spark.createDataFrame([], "partition_event_type string, year int, month int, day int")
         df = df.filter(F.col("partition_event_type") == event_type) if event_type else df
@@ -95,15 +117,11 @@ class EventLake:
 
     def latest(self, event_type: str, table: str = "feedback") -> DataFrame:
         """The rows of the newest day of a type; only that partition is read."""
-        df = self._all()
-        if df is None:
-            return self.spark.createDataFrame([], conform_schema(table))
-        own = df.filter(F.col("partition_event_type") == event_type)
-        newest = own.select(*PARTS[1:4]).distinct().agg(F.max(partition_date())).first()[0]
-        return conform(own.filter(partition_date() == F.lit(newest)), table, keep_rest=True)
+        newest = self.partitions(event_type).agg(F.max(partition_date())).first()[0]
+        return self.spark.createDataFrame([], conform_schema(table)) if newest is None else self.read(newest, newest, [event_type], table)
 
     def event_types(self, allowed: list[str] | None = None) -> list[str]:
-        df = self._all()
+        df = self._open([self.root], merge=False)
         found = [] if df is None else [r[0] for r in df.select("partition_event_type").distinct().collect()]
         return sorted(t for t in found if not allowed or t in allowed)
 

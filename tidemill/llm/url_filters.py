@@ -138,7 +138,7 @@ def build_templates(urls: DataFrame, settings: TemplateSettings = TemplateSettin
         child = by_rest.groupBy("host", "tmpl", "seg").agg(F.max_by("rest", F.struct("n", "rest")).alias("rest"), *stats)
         labels = materialize(sibling_labels(child.filter(F.col("n") >= s.min_support), s.merge_z), "url-labels")
         grown = F.concat("tmpl", F.lit("/"), F.coalesce("label", F.lit("*")))
-        open_ = materialize(deep.join(labels, ["host", "tmpl", "seg"], "left").select(*columns[:-1], grown.alias("tmpl"), "left"), "url-level")
+        open_ = materialize(salted_left_join(deep, labels, ["host", "tmpl", "seg"], F.xxhash64("segs")).select(*columns[:-1], grown.alias("tmpl"), "left"), "url-level")
     state = materialize(reduce(DataFrame.unionByName, done), "url-done")
     tmpl = state.groupBy("host", "tmpl").agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad"))
     host = tmpl.groupBy("host").agg(F.sum("lab").alias("hlab"), F.sum("bad").alias("hbad"))
@@ -146,8 +146,8 @@ def build_templates(urls: DataFrame, settings: TemplateSettings = TemplateSettin
     overall = (all_bad + 0.5) / (all_lab + 1.0) if all_lab else 0.0
     host_rate = (F.col("hbad") + s.prior_weight * overall) / (F.col("hlab") + s.prior_weight)
     purity = (F.col("bad") + s.prior_weight * host_rate) / (F.col("lab") + s.prior_weight)
-    judged = tmpl.join(host, "host").select("host", "tmpl", F.col("lab").alias("labelled"), purity.alias("purity"), (purity >= s.block_at).alias("block"))
-    return state.select("host", "tmpl", "segs").join(judged, ["host", "tmpl"]).withColumnRenamed("tmpl", "template")
+    judged = salted_left_join(tmpl, host, ["host"], F.xxhash64("tmpl")).select("host", "tmpl", F.col("lab").alias("labelled"), purity.alias("purity"), (purity >= s.block_at).alias("block"))
+    return salted_left_join(state.select("host", "tmpl", "segs"), judged, ["host", "tmpl"], F.xxhash64("segs")).withColumnRenamed("tmpl", "template")
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None, settings: TemplateSettings = TemplateSettings()) -> DataFrame:

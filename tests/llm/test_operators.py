@@ -479,6 +479,21 @@ def test_long_documents_are_learned_from(spark):
     assert few.weights is not None
 
 
+def test_the_fitting_sample_is_bounded_however_rows_lie(spark, monkeypatch):
+    """One id in a third of all rows, with two texts, and one document of more lines than the bound."""
+    line = {0: "|| 99 || !! 12 ##", 1: "good line of some plain words."}
+    rows = [(i, "\n".join([line[i % 2]] * (10 + i))) for i in range(40)]
+    frame = docs(spark, rows + [(7, rows[7][1])] * 25 + [(7, "another text")] * 5 + [(100, "\n".join([line[0]] * 5000))])
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows] + [(7, 1), (100, 0), (None, 1), (3, None)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_crf, "train", lambda bins, size, first, label: seen.append((len(size), len(first) - 1, sorted(label))))
+    for bound in (400_000, 2000, 900):
+        quality_crf.fit_quality_model(frame, labels, fit_lines=bound)
+    (all_lines, n, label), (some, few, _), (less, fewer, _) = seen
+    assert n == 41 and label == [0] * 21 + [1] * 20 and all_lines in (5000 + sum(10 + i for i in range(40)), 5000 + sum(10 + i for i in range(40)) - 16)
+    assert few == 40 and some <= 2000 and 0 < fewer < 40 and less <= 900
+
+
 def test_clashing_names_and_repeated_rows(spark):
     from tidemill.llm.common import materialize, without
 

@@ -5,9 +5,9 @@ before and after it; two transition weights tie neighbours. Forward-backward mar
 weighted by line length, give the document's quality, which a logistic curve fitted on the
 training rows turns into the score.
 
-The field is fitted on a bounded sample: fit_rows labelled documents chosen by a hash of the id, fewer
-where these have more than fit_lines lines in all; a document of any length is as likely to be chosen, and its
-label counts for all its lines. Scoring reads whole texts.
+The field is fitted on a bounded sample: about fit_rows labelled documents chosen by a hash of the id, fewer
+where these have more than fit_lines lines in all; a document of any length may be chosen, as long as it
+has no more lines than are left, and its label counts for all its lines. Scoring reads whole texts.
 
 Cases: a null text is empty; an empty text is one empty line; very long texts are scored whole, line
 by line; null labels and null ids are not learned from; without both labels in the sample every score
@@ -191,16 +191,25 @@ def train(bins: np.ndarray, size: np.ndarray, first: np.ndarray, label: np.ndarr
 
 
 def fit_quality_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_lines: int = FIT_LINES) -> QualityModel:
-    """docs(doc_id, text), labels(doc_id, quality). The sample is chosen among the labels first, so few texts are moved."""
+    """docs(doc_id, text), labels(doc_id, quality). The sample is chosen among the labels first, so few texts are moved.
+
+    A document that occurs in several rows is learned from once. Documents are taken in the order of a hash of their ids; one that
+    has more lines than are left of fit_lines is passed over, so however the rows lie, no more than both bounds comes to the driver.
+    """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     total = known.count()
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sampled = in_sample(F.col("doc_id"), fit_rows, total)
+    texts = docs.filter(sampled).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("is", F.xxhash64("text"))
     lines = (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
-    found = texts.filter(sampled).select("doc_id", lines.alias("lines")).join(known.filter(sampled), "doc_id").agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
-    if found > fit_lines:
-        sampled = in_sample(F.col("doc_id"), max(1, fit_rows * fit_lines // found), max(total, fit_rows))
-    rows = texts.filter(sampled).join(known.filter(sampled), "doc_id")
+    once = texts.select("doc_id", "is", lines.alias("lines")).groupBy("doc_id").agg(F.min(F.struct("is", "lines")).alias("x"))  # before the join: rows of one id are no more than one
+    sizes = once.join(known.filter(sampled), "doc_id")
+    chosen, left = [], fit_lines
+    for r in sizes.orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # ids and numbers of a sample of labels, one row a document
+        if r.x["lines"] <= left:
+            chosen.append((r.doc_id, r.x["is"], r.quality))
+            left -= r.x["lines"]
+    own = docs.sparkSession.createDataFrame(chosen, f"doc_id {known.schema['doc_id'].dataType.simpleString()}, is long, quality long")
+    rows = texts.join(F.broadcast(own), ["doc_id", "is"]).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("text").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK_BYTES):

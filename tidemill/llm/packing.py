@@ -350,6 +350,7 @@ def pack_texts(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), end_i
             yield batch_of()
         emit(packer.finish())
         yield batch_of()
+        _encoders.clear()  # the process is reused for other work: it shall not hold what has been learned here
 
     prompt = F.col("prompt_tokens").cast("long") if "prompt_tokens" in docs.columns else F.lit(None).cast("long")
     return docs.select(F.col("id").cast("long").alias("id"), "text", prompt.alias("prompt_tokens")).mapInArrow(pack, schema)

@@ -506,3 +506,30 @@ def test_clashing_names_and_repeated_rows(spark):
     assert exact_dedup.mark_duplicates(frame).filter("kept").count() == 6
     lost = materialize(spark.createDataFrame([(2,)], "doc_id long"), "t")
     assert sorted((r.doc_id or 0) for r in without(frame, lost, "doc_id").collect()) == [0, 1, 3, 3]
+
+
+def largest_broadcast(spark, since):
+    """Bytes of the largest table that the driver has broadcast in executions after `since`."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    unit = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30}
+    most, runs = 0, store.executionsList()
+    for run in (runs.apply(k).executionId() for k in range(runs.size())):
+        nodes, values = store.planGraph(run).allNodes(), store.executionMetrics(run)
+        for node in (nodes.apply(k) for k in range(nodes.size() if run > since else 0)):
+            for m in (node.metrics().apply(k) for k in range(node.metrics().size() if node.name().startswith("BroadcastExchange") else 0)):
+                if m.name() == "data size" and values.contains(m.accumulatorId()):
+                    value, name = values.apply(m.accumulatorId()).split("\n")[-1].split(" ")[:2]
+                    most = max(most, float(value) * unit[name])
+    return most
+
+
+def test_near_duplicates_broadcast_no_large_table(spark):
+    """Small files of many rows are not broadcast, however often the rows are repeated: here each two documents have a tile and a cluster."""
+    pairs = 30_000
+    texts = spark.range(2 * pairs).select(F.col("id").alias("doc_id"), F.expr("array_join(transform(sequence(0, 22), i -> concat('w', id div 2, '_', i)), ' ') || if(id % 2 = 0, ' x', ' y')").alias("text"))
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    since = max((runs.apply(k).executionId() for k in range(runs.size())), default=-1)
+    got = ngram_join.near_duplicates(texts)
+    assert got.filter("component_id <> doc_id - doc_id % 2").count() == 0
+    assert got.count() == 2 * pairs
+    assert largest_broadcast(spark, since) <= 24 << 20  # a table with two keys takes whole pages of up to 16 MiB

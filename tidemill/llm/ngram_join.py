@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WIDE_BITS, bitmap_of, components, counted_join, discard, lowered, materialize, maybe_in, mix, salted_left_join, slices, sorted_unique, span_hashes, utf8, without, words_of
+from .common import SALTS, WIDE_BITS, bitmap_of, components, counted_join, discard, lowered, materialize, maybe_in, mix, salted_left_join, sized, slices, sorted_unique, span_hashes, utf8, without, words_of
 
 CHUNK_BYTES = 512 << 10
 SIG_BITS = (512, 4096)  # of a signature: one or two a shingle, within these bounds
@@ -296,15 +296,15 @@ def _compared(member: DataFrame, loads: DataFrame, load: str, weight: Column, li
     sizes = materialize(member.groupBy("key").agg(F.sum("weight").alias("total"), F.count(F.lit(1)).alias("k")).filter(F.col("total") > limit), "ngram-large")
     used, led = [sizes], None
     if not every and not sizes.isEmpty():
-        some = salted_left_join(member, sizes.select("key", "k"), ["key"], F.xxhash64("id")).filter("k IS NOT NULL")
+        some = salted_left_join(member, sized(sizes, SALTS).select("key", "k"), ["key"], F.xxhash64("id")).filter("k IS NOT NULL")
         one = some.groupBy("key").agg(F.min_by(F.struct("id", "n"), F.xxhash64("id", "key")).alias("l")).select("key", "l.id", "l.n")
         lead = materialize(one.join(loads.select("id", "n", load), ["id", "n"]).groupBy("key").agg(F.first("id").alias("a"), F.first("n").alias("na"), F.first(load).alias("sa")), "ngram-leaders")
-        beside = salted_left_join(member.select("key", "id", "n"), lead, ["key"], F.xxhash64("id")).filter("a <> id").join(loads.select("id", "n", load), ["id", "n"])
+        beside = salted_left_join(member.select("key", "id", "n"), sized(lead, SALTS, "sa"), ["key"], F.xxhash64("id")).filter("a <> id").join(loads.select("id", "n", load), ["id", "n"])
         led = materialize(beside.select("a", "id", "na", "n", "sa", load).mapInArrow(leader_check, "a long, b long"), "ngram-led")
         group = materialize(led.select(F.col("a"), F.col("b").alias("id")).distinct(), "ngram-group")
-        keyed = salted_left_join(member, lead.select("key", "a"), ["key"], F.xxhash64("id"))
+        keyed = salted_left_join(member, sized(lead, SALTS).select("key", "a"), ["key"], F.xxhash64("id"))
         main = F.coalesce("in", F.col("id") == F.col("a"), F.lit(False))
-        split = keyed.join(group.withColumn("in", F.lit(True)), ["a", "id"], "left").select(*own, main.alias("main"), F.when(main, F.col("a")).otherwise(F.col("id")).alias("comp"))
+        split = keyed.join(sized(group).withColumn("in", F.lit(True)), ["a", "id"], "left").select(*own, main.alias("main"), F.when(main, F.col("a")).otherwise(F.col("id")).alias("comp"))
         member = materialize(split, "ngram-split")
         used += [lead, led, group, member]
     else:
@@ -312,7 +312,7 @@ def _compared(member: DataFrame, loads: DataFrame, load: str, weight: Column, li
     parts = lambda w: F.ceil(F.coalesce(F.sum(w), F.lit(0)) / limit).cast("int")
     per = member.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("c"), F.max("comp").alias("d"), parts(F.when(F.col("main"), F.col("weight"))).alias("gp"), parts(F.when(~F.col("main"), F.col("weight"))).alias("rp"))
     per = materialize(per.filter("c <> d" if not every else "k > 1").select("key", "gp", F.greatest("rp", F.lit(1)).alias("rp")), "ngram-blocks")
-    some = salted_left_join(member, per, ["key"], F.xxhash64("id")).filter("rp IS NOT NULL")
+    some = salted_left_join(member, sized(per, SALTS), ["key"], F.xxhash64("id")).filter("rp IS NOT NULL")
     spot = lambda p: F.pmod(F.xxhash64("id", F.lit(7)), F.greatest(p, F.lit(1))).cast("int")
     some = some.withColumn("part", F.when(F.col("main"), spot(F.col("gp"))).otherwise(F.col("gp") + spot(F.col("rp"))))
     # the parts of the leader's group come first and do not meet one another
@@ -336,14 +336,15 @@ def _clusters(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
     # copies of one set stand behind their lowest id
     groups = real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     same = materialize(groups.filter("copies > 1").drop("copies"), "ngram-same")
-    behind = salted_left_join(sketch.select("id", "n", "k1", "k2"), same, ["n", "k1", "k2"], F.xxhash64("id")).filter("id <> rep").select("id", "rep").distinct()
+    behind = salted_left_join(sketch.select("id", "n", "k1", "k2"), sized(same, SALTS), ["n", "k1", "k2"], F.xxhash64("id")).filter("id <> rep").select("id", "rep").distinct()
     behind = materialize(behind, "ngram-behind")
 
     # shared prefix shingles; followers are left out, but an id with several texts keeps all of them
     maybe = maybe_in(sketch.select("id", "n", "k1", "k2").distinct(), F.xxhash64("id"), bitmap_of(behind, F.xxhash64("id")))
-    gone = maybe.join(behind.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1").select("id")
+    gone = maybe.join(sized(behind).select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1").select("id")
     gone = materialize(gone, "ngram-gone")
-    followers, several = behind.join(gone, "id", "left_semi"), behind.join(gone, "id", "left_anti")
+    alone = sized(gone)
+    followers, several = behind.join(alone, "id", "left_semi"), behind.join(alone, "id", "left_anti")
     posts = without(real.select("id", "n", "prefix"), gone, "id", WIDE_BITS).select("id", "n", F.explode("prefix").alias("token"))
     df = materialize(posts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "ngram-df")
     total = df.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
@@ -379,7 +380,7 @@ def _clusters(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
 
 
 def _links(cluster: DataFrame, sets: DataFrame, percent: int, cluster_bytes: int, every: bool = False) -> DataFrame:
-    member = cluster.join(sets.select("id", "n"), "id").filter("n > 0")
+    member = sized(cluster).join(sets.select("id", "n"), "id").filter("n > 0")
     out = _compared(member, sets, "tokens", F.greatest(8 * F.col("n"), F.lit(4096)), cluster_bytes, _led_linked(percent), _linked(percent, every), every)
     discard(sets, cluster)
     return out
@@ -391,11 +392,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _links(cluster, sets, percent, cluster_bytes)
     # an id of several texts ties what they link with; the copies of a set hang on its representative and come after
     comp = materialize(components(links.unionByName(several.select(F.col("rep").alias("a"), F.col("id").alias("b"))), "ngram-all"), "ngram-comp")
-    of_rep = followers.select("rep").distinct().join(comp.withColumnRenamed("node", "rep"), "rep").select("rep", "component")
+    of_rep = followers.select("rep").distinct().join(comp.withColumnRenamed("node", "rep").hint("merge"), "rep").select("rep", "component")
     hang = salted_left_join(followers, of_rep, ["rep"], F.xxhash64("id")).select("id", F.coalesce("component", "rep").alias("component"))
     final = materialize(comp.select(F.col("node").alias("id"), "component").unionByName(hang), "ngram-final")
     discard(links, comp)
-    out = sketch.select("id", "n").join(final, "id", "left")
+    out = sketch.select("id", "n").join(sized(final), "id", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
@@ -409,7 +410,7 @@ def near_duplicate_links(docs: DataFrame, id_col: str = "doc_id", text_col: str
     pairs = _links(cluster, sets, percent, cluster_bytes, every=True)
     real = sketch.filter("n > 0 AND id IS NOT NULL").select("id", "n", "k1", "k2")
     reps = materialize(real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")), "ngram-reps")
-    members = salted_left_join(real, reps, ["n", "k1", "k2"], F.xxhash64("id")).select("id", "rep").distinct()
+    members = salted_left_join(real, sized(reps, SALTS), ["n", "k1", "k2"], F.xxhash64("id")).select("id", "rep").distinct()
     return pairs, members
 
 

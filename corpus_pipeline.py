@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import free_names, materialize, without
+from tidemill.llm.common import free_names, materialize, sized, without
 from tidemill.llm.decontaminate import remove_contaminated
 from tidemill.llm.exact_dedup import drop_duplicates
 from tidemill.llm.ngram_join import near_duplicates
@@ -48,17 +48,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         lost = materialize(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "near-lost")
         return without(docs, lost, "doc_id").select(*docs.columns)
     key, sha = free_names(docs, "_key", "_sha")
-    own = rows.alias("r").join(unclear.alias("u"), F.col("r.doc_id").eqNullSafe(F.col("u.doc_id")), "left_semi").distinct()
+    own = rows.alias("r").join(sized(unclear).alias("u"), F.col("r.doc_id").eqNullSafe(F.col("u.doc_id")), "left_semi").distinct()
     least = docs.agg(F.least(F.coalesce(F.min("doc_id"), F.lit(0)), F.lit(0))).first()[0]
     own = materialize(own.select("doc_id", F.col("sha").alias(sha), (F.lit(least).cast("long") - 1 - F.monotonically_increasing_id()).alias(key)), "near-keys")
     hashed = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256)).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col(f"d.{sha}") == F.col(f"o.{sha}"))
+    own = sized(own)
     keyed = hashed.join(own.alias("o"), same, "left").select("d.*", F.coalesce(f"o.{key}", "d.doc_id").alias(key))
     keyed = materialize(keyed.drop(sha), "near-keyed")
     groups = near_duplicates(keyed.select(key, "text"), id_col=key, width=5, percent=80).select(key, "component_id").distinct()
     grouped = materialize(groups.join(own, key, "left").select(key, "component_id", F.when(F.col(sha).isNull(), F.col(key)).otherwise(F.col("doc_id")).alias("doc_id"), sha), "near-groups")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", sha, key)
-    stays = grouped.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col(f"first.{key}").alias(key))
+    stays = sized(grouped).groupBy("component_id").agg(F.min(first).alias("first")).select(F.col(f"first.{key}").alias(key))
     lost = materialize(grouped.join(stays, key, "left_anti").select(key), "near-lost")
     return without(keyed, lost, key).select(*docs.columns)
 

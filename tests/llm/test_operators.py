@@ -1,8 +1,12 @@
 """Small tables against brute force; nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import json
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
@@ -127,6 +131,29 @@ def test_sharding(spark, tmp_path):
     assert all((r.size, r.text_crc32) == (len(texts[r.doc_id]) + 8, zlib.crc32(texts[r.doc_id])) for r in digest) and len(digest) == len(texts)
 
 
+def test_sharding_holds_no_bucket_in_one_array(tmp_path):
+    """One bucket of 256 MiB in a heap of 1 GiB (a session of its own): as an array of rows it ran out of memory."""
+    code = f"""
+from pyspark.sql import SparkSession, functions as F
+from tidemill.llm import sharding
+spark = SparkSession.builder.master("local[2]").config("spark.driver.memory", "1g").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").getOrCreate()
+text = F.repeat(F.format_string("%015d ", "id"), 1 << 16)
+spark.range(0, 256, 1, 64).select(F.col("id").alias("doc_id"), text.alias("text")).write.parquet("{tmp_path}/in")
+got = sharding.assign_shards(spark.read.parquet("{tmp_path}/in"), 5, bucket_bytes=1 << 40, path="{tmp_path}/out")
+got = got.select("doc_id", F.octet_length("text"), F.left("text", F.lit(15)).cast("long"), "shard", "slot")
+import json
+print("rows:", json.dumps([tuple(r) for r in got.collect()]))
+"""
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "PYSPARK_SUBMIT"))} | {"PYTHONPATH": repo}
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=env, cwd=tmp_path, timeout=300)
+    assert run.returncode == 0 and "rows: " in run.stdout, run.stderr[-2000:]
+    rows = [tuple(r) for r in json.loads(run.stdout.split("rows: ")[1])]
+    assert sorted(r[0] for r in rows) == list(range(256)) and all(said == i and size == 1 << 20 for i, size, said, _, _ in rows)
+    assert sorted(r[3:] for r in rows) == [(rank * 5 // 256, rank - -(-(rank * 5 // 256) * 256 // 5)) for rank in range(256)]
+    assert [r[0] for r in sorted(rows, key=lambda r: r[3:])] != list(range(256))
+
+
 def brute_base(text):
     """The base kinds by a scan of its own, character by character."""
     found, value = [], set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")

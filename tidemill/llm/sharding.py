@@ -2,8 +2,9 @@
 
 Pass one scatters rows into memory-sized buckets by a seeded hash of the row's place in the input,
 so that no id, source or group of copies can fill a bucket; each bucket is a task of its own. Pass two
-puts each bucket into the order of the places, shuffles it (the built-in array shuffle is a
-Fisher-Yates shuffle by a seed) and writes it. The order of arrival does not matter, so a
+shuffles each bucket's places (sorted, then the built-in array shuffle, a Fisher-Yates shuffle by a seed), gives
+each row the rank of its place, and writes the rows in the order of their ranks. Only places are held in arrays; rows are
+sorted, and a sort can spill. The order of arrival does not matter, so a
 repeated task, or a second run over the same files, writes the same rows in the same order.
 
 Law `rows`: a shard is a run of the whole shuffled order, so counts are at most one apart, slots have no
@@ -40,12 +41,15 @@ def assign_shards(docs: DataFrame, shards: int = 24, text_col: str = "text", buc
     # one row a bucket: where it begins in the whole order
     counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
-    dealt = placed.repartitionById(buckets, "bucket")
-    rows = dealt.groupBy("bucket").agg(F.shuffle(F.array_sort(F.collect_list(F.struct("place", "row"))), seed).alias("rows"))
-    out = rows.join(F.broadcast(before), "bucket").select("before", F.posexplode("rows").alias("pos", "x"))
-    rank = F.col("before") + F.col("pos")
-    out = out.select("x.row.*", F.expr(f"cast((before + pos) * {shards} div {max(n, 1)} as int)").alias("shard"), rank.alias("slot"))
+    # the order of a bucket by its places alone, dealt like the rows, so that rows meet their ranks in the bucket's task
+    order = placed.select("bucket", "place").repartitionById(buckets, "bucket").groupBy("bucket").agg(F.shuffle(F.array_sort(F.collect_list("place")), seed).alias("places"))
+    ranks = order.join(F.broadcast(before), "bucket").select("bucket", "before", F.posexplode("places").alias("pos", "place"))
+    ranks = ranks.select("bucket", "place", (F.col("before") + F.col("pos")).alias("rank"))
+    dealt = placed.repartitionById(buckets, "bucket").join(ranks.hint("shuffle_hash"), ["bucket", "place"], "left")
+    rank = F.coalesce("rank", F.raise_error(F.lit("a row has changed its place: docs must be a scan of files")).cast("long"))
+    out = dealt.select("row.*", rank.alias("slot")).withColumn("shard", F.expr(f"cast(slot * {shards} div {max(n, 1)} as int)"))
     out = out.withColumn("slot", F.col("slot") - F.expr(f"(cast(shard as bigint) * {n} + {shards - 1}) div {shards}"))  # less the rank at which the shard begins
+    out = out.select(*docs.columns, "shard", "slot").sortWithinPartitions("shard", "slot")
     path = path or fresh_path(spark, "shards")
     out.write.mode("overwrite").partitionBy("shard").parquet(path)
     back = spark.read.schema(out.schema).parquet(path)

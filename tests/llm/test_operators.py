@@ -12,6 +12,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidemill.llm import decontaminate, exact_dedup, language_id, ngram_join, packing, quality_crf, secret_scan, sharding, url_filters, warc
@@ -154,6 +155,33 @@ print("rows:", json.dumps([tuple(r) for r in got.collect()]))
     assert [r[0] for r in sorted(rows, key=lambda r: r[3:])] != list(range(256))
 
 
+def test_a_worker_hands_back_what_a_packing_task_has_freed(spark, tmp_path, monkeypatch):
+    """The function that packing gives to mapInArrow, run in a process of its own: anonymous memory after its import and after its task."""
+    given, plain = [], type(spark.range(1)).mapInArrow
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda df, f, schema, *a, **k: given.append(f) or plain(df, f, schema, *a, **k))
+    packing.pack_texts(spark.createDataFrame([], "id long, text string"), packing.public_tokenizer())
+    (tmp_path / "work").write_bytes(cloudpickle.dumps(given[0]))
+    code = """
+import random, re, types
+import pyarrow as pa
+import pyspark
+from pyspark import cloudpickle
+from tidemill.llm import packing
+pyspark.TaskContext.get = staticmethod(lambda: types.SimpleNamespace(partitionId=lambda: 0))
+used = lambda: sum(map(int, re.findall(r"Anonymous: +([0-9]+)", open("/proc/self/smaps_rollup").read()))) // 1024
+work, r = cloudpickle.loads(open("work", "rb").read()), random.Random(5)
+batch = lambda n: pa.RecordBatch.from_pydict({"id": list(range(n)), "text": [" ".join("%x" % r.getrandbits(40) for _ in range(200)) for _ in range(n)], "prompt_tokens": pa.array([None] * n, pa.int64())})
+before = used()
+rows = sum(x.num_rows for x in work(batch(500) for _ in range(8)))
+print("kept:", used() - before, rows >= 4000)
+"""
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=os.environ | {"PYTHONPATH": repo}, cwd=tmp_path, timeout=100)
+    assert run.returncode == 0, run.stderr[-2000:]
+    kept = re.search(r"kept: (-?\d+) True", run.stdout)
+    assert kept and int(kept[1]) < 75, run.stdout
+
+
 def brute_base(text):
     """The base kinds by a scan of its own, character by character."""
     found, value = [], set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")

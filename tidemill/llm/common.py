@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -208,6 +209,27 @@ def in_sample(key: Column, wanted: int, total: int) -> Column:
 
 
 # ---------------------------------------------------------------- text batches
+def release_memory() -> None:
+    """Hands what this process has freed back to the system: Arrow's pool and the C library keep it else."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library than glibc
+        pass
+
+
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow that releases its process's memory when a task ends: Spark keeps the process for later tasks, beside those of other stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """A text column without nulls and in one piece."""
     if isinstance(column, pa.ChunkedArray):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, slices, sorted_unique, span_hashes, texts_of, utf8
+from .common import mix, released, slices, sorted_unique, span_hashes, texts_of, utf8
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, WIDTH = 0.5, 0.6, 5
@@ -242,7 +242,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
                 keep[[d for d, *_ in shared.value.search(texts_of(batch.column(text_col)).to_pylist(), overlap)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = docs.mapInArrow(released(clean), docs.schema)
     return docs
 
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SALTS, WIDE_BITS, bitmap_of, components, counted_join, discard, lowered, materialize, maybe_in, mix, salted_left_join, sized, slices, sorted_unique, span_hashes, utf8, without, words_of
+from .common import SALTS, WIDE_BITS, bitmap_of, components, counted_join, discard, lowered, materialize, maybe_in, mix, released, salted_left_join, sized, slices, sorted_unique, span_hashes, utf8, without, words_of
 
 CHUNK_BYTES = 512 << 10
 SIG_BITS = (512, 4096)  # of a signature: one or two a shingle, within these bounds
@@ -300,7 +300,7 @@ def _compared(member: DataFrame, loads: DataFrame, load: str, weight: Column, li
         one = some.groupBy("key").agg(F.min_by(F.struct("id", "n"), F.xxhash64("id", "key")).alias("l")).select("key", "l.id", "l.n")
         lead = materialize(one.join(loads.select("id", "n", load), ["id", "n"]).groupBy("key").agg(F.first("id").alias("a"), F.first("n").alias("na"), F.first(load).alias("sa")), "ngram-leaders")
         beside = salted_left_join(member.select("key", "id", "n"), sized(lead, SALTS, "sa"), ["key"], F.xxhash64("id")).filter("a <> id").join(loads.select("id", "n", load), ["id", "n"])
-        led = materialize(beside.select("a", "id", "na", "n", "sa", load).mapInArrow(leader_check, "a long, b long"), "ngram-led")
+        led = materialize(beside.select("a", "id", "na", "n", "sa", load).mapInArrow(released(leader_check), "a long, b long"), "ngram-led")
         group = materialize(led.select(F.col("a"), F.col("b").alias("id")).distinct(), "ngram-group")
         keyed = salted_left_join(member, sized(lead, SALTS).select("key", "a"), ["key"], F.xxhash64("id"))
         main = F.coalesce("in", F.col("id") == F.col("a"), F.lit(False))
@@ -320,7 +320,7 @@ def _compared(member: DataFrame, loads: DataFrame, load: str, weight: Column, li
     dealt = dealt.select(*[c for c in own if c != "weight"], "comp", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
     loaded = dealt.join(loads.select("id", "n", load), ["id", "n"])
     sorted_ = loaded.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    out = sorted_.mapInArrow(block_check, "a long, b long")
+    out = sorted_.mapInArrow(released(block_check), "a long, b long")
     out = materialize((out if led is None else out.unionByName(led)).filter("a <> b").distinct(), "ngram-pairs")
     discard(per, *used)
     return out
@@ -330,7 +330,7 @@ def _clusters(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
     """sketch, followers (id, rep) of one text and of several, clusters (id, key) and the sets of their members."""
     seed = secrets.randbits(63)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sketch = materialize(rows.mapInArrow(_sketch(width, percent, seed), "id long, n long, k1 long, k2 long, prefix array<long>"), "ngram-sketch")
+    sketch = materialize(rows.mapInArrow(released(_sketch(width, percent, seed)), "id long, n long, k1 long, k2 long, prefix array<long>"), "ngram-sketch")
     real = sketch.filter("n > 0 AND id IS NOT NULL")
 
     # copies of one set stand behind their lowest id
@@ -370,12 +370,12 @@ def _clusters(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
     def texts_in(ids: DataFrame) -> DataFrame:
         return maybe_in(rows, F.xxhash64("id"), bitmap_of(ids, F.xxhash64("id"), WIDE_BITS), WIDE_BITS)
 
-    sigs = materialize(texts_in(member).mapInArrow(_signatures(width, percent, seed), "id long, n long, sig binary"), "ngram-signatures")
+    sigs = materialize(texts_in(member).mapInArrow(released(_signatures(width, percent, seed)), "id long, n long, sig binary"), "ngram-signatures")
     near = _compared(member, sigs, "sig", F.lit(1), tile_members, _led_near(percent - LOOSE), _near(percent))
     discard(member, sigs)
     cluster = materialize(components(near, "ngram").select(F.col("node").alias("id"), F.col("component").alias("key")), "ngram-clusters")
     discard(near)
-    sets = materialize(texts_in(cluster).mapInArrow(_sets(width, seed), "id long, n long, tokens binary"), "ngram-sets")
+    sets = materialize(texts_in(cluster).mapInArrow(released(_sets(width, seed)), "id long, n long, tokens binary"), "ngram-sets")
     return sketch, followers, several, cluster, sets
 
 

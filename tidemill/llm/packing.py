@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, slices, texts_of
+from .common import mix, released, slices, texts_of
 
 END_ID = 1
 CHUNK_BYTES = 512 << 10
@@ -353,7 +353,7 @@ def pack_texts(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), end_i
         _encoders.clear()  # the process is reused for other work: it shall not hold what has been learned here
 
     prompt = F.col("prompt_tokens").cast("long") if "prompt_tokens" in docs.columns else F.lit(None).cast("long")
-    return docs.select(F.col("id").cast("long").alias("id"), "text", prompt.alias("prompt_tokens")).mapInArrow(pack, schema)
+    return docs.select(F.col("id").cast("long").alias("id"), "text", prompt.alias("prompt_tokens")).mapInArrow(released(pack), schema)
 
 
 def public_tokenizer() -> str:

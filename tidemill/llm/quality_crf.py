@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_sample, lowered, slices, span_hashes, utf8, words_of
+from .common import in_sample, lowered, released, slices, span_hashes, utf8, words_of
 from .language_id import is_held_out
 
 FIT_ROWS, FIT_LINES = 4000, 400_000
@@ -217,7 +217,7 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_RO
             cut = [(int(a), int(b)) for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").cast(pa.int64()), "quality": batch.column("quality").cast(pa.int64()), "bins": pa.array([bins[a:b].astype(np.uint8).tobytes() for a, b in cut], pa.binary()), "size": pa.array([size[a:b].astype(np.int64).tobytes() for a, b in cut], pa.binary())})
 
-    got = rows.select("doc_id", "quality", "text").mapInArrow(measure, "doc_id long, quality long, bins binary, size binary").toArrow().sort_by("doc_id")
+    got = rows.select("doc_id", "quality", "text").mapInArrow(released(measure), "doc_id long, quality long, bins binary, size binary").toArrow().sort_by("doc_id")
     if not got.num_rows:
         return QualityModel(None, np.zeros(2))
     bins = [np.frombuffer(x, np.uint8).reshape(-1, MEASURES) for x in got.column("bins").to_pylist()]
@@ -237,7 +237,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text")
             s = shared.value.score(*utf8(batch.column(text_col)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64()), pa.array((s >= REJECT_BELOW).astype(np.int32))], names=[*batch.schema.names, "score", "predicted"])
 
-    return docs.select(*rest).mapInArrow(score, schema)
+    return docs.select(*rest).mapInArrow(released(score), schema)
 
 
 def learnable(labels: DataFrame) -> DataFrame:
